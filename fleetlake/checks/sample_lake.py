@@ -46,37 +46,57 @@ class Sample:
 
     rules = quality.standard_rules(sample_trips.LIMITS)
 
-    def trusted(self, fleet: Fleet) -> DataFrame:
+    def derived(self, fleet: Fleet) -> DataFrame:
+        """Trips computed from the order tables as they are read."""
         return sample_trips.sample_trips(self.spark, self.directory, fleet)
 
-    @property
+    @cached_property
     def fleets(self) -> dict[Fleet, DataFrame]:
-        return {fleet: self.trusted(fleet) for fleet in FLEETS}
+        """The derived trips, stored.
+
+        Queries start from stored columns, as they do in a lake. Rule conditions
+        can then be pushed into the scan; over derived columns they would repeat
+        the derivation in every condition.
+        """
+        stored = {f: f"{self.folder}/derived/{f.name}" for f in FLEETS}
+        for fleet, path in stored.items():
+            self.derived(fleet).write.parquet(path)
+        return {fleet: self.spark.read.parquet(path) for fleet, path in stored.items()}
 
-    @property
+    def trusted(self, fleet: Fleet) -> DataFrame:
+        return self.fleets[fleet]
+
+    @cached_property
     def trips(self) -> DataFrame:
         return all_fleets(self.fleets)
 
-    @property
+    @cached_property
     def fact(self) -> DataFrame:
         return quality.accepted(self.trips, self.rules)
 
-    @property
+    @cached_property
     def quarantine(self) -> DataFrame:
         return quality.rejected(self.trips, self.rules)
 
-    @property
+    @cached_property
     def monthly(self) -> DataFrame:
         return marts.monthly_mart(self.fact)
 
-    @property
+    @cached_property
     def hourly(self) -> DataFrame:
         return marts.hourly_mart(self.fact)
 
+    @cached_property
+    def folder(self) -> str:
+        return f"{shared_folder(self.spark)}/{self.name}"
+
     @cached_property
     def lake(self) -> Lake:
-        folder = f"{shared_folder(self.spark)}/{self.name}"
-        return Lake(f"{folder}/landing", prefix=f"{self.name}_", location=f"{folder}/tables")
+        return Lake(
+            f"{self.folder}/landing",
+            prefix=f"{self.name}_",
+            location=f"{self.folder}/tables",
+        )
 
     @cached_property
     def pipeline(self) -> Pipeline:
@@ -116,14 +136,11 @@ class Sample:
         return f"{self.lake.database('quality')}.{name}_{uuid.uuid4().hex[:8]}"
 
 
-_samples: dict[tuple[str, str], Sample] = {}
+_samples: dict[tuple[int, str], Sample] = {}
 
 
 def sample_of(spark: SparkSession, directory: str) -> Sample:
-    """One sample per application and directory, so that layers are shared."""
+    """One sample per session and directory, so that stored data is shared."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    key = (spark.sparkContext.applicationId, directory)
-    if key not in _samples:
-        _samples[key] = Sample(spark, directory)
-    _samples[key].spark = spark
-    return _samples[key]
+    # The sample keeps its session alive, so the identity is not used twice.
+    return _samples.setdefault((id(spark), directory), Sample(spark, directory))

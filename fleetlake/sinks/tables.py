@@ -45,9 +45,15 @@ def comment_table(spark: SparkSession, table: str, comment: str | None) -> None:
         spark.sql(f"COMMENT ON TABLE {table} IS {_text(comment)}")
 
 
+def table_detail(spark: SparkSession, table: str, name: str) -> str | None:
+    """A table property as DESCRIBE shows it, after any column of the same name."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    found = described.where(F.col("col_name") == name).collect()
+    return found[-1]["data_type"] if found else None
+
+
 def table_location(spark: SparkSession, table: str) -> str:
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    return details.where("col_name = 'Location'").first()["data_type"]
+    return table_detail(spark, table, "Location")
 
 
 def partitions(spark: SparkSession, table: str) -> set[str]:
@@ -154,6 +160,16 @@ def replace_partitions(
     comment_table(spark, table, comment)
 
 
+def _take_place(spark: SparkSession, incoming: str, table: str) -> None:
+    """Let the finished table ``incoming`` become ``table``.
+
+    Only names and directories change. If this is interrupted, all rows are
+    still there under one of the two names.
+    """
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {incoming} RENAME TO {table}")
+
+
 def overwrite_table(frame: DataFrame, table: str, comment: str | None = None) -> None:
     """Replace a table, schema included.
 
@@ -164,8 +180,7 @@ def overwrite_table(frame: DataFrame, table: str, comment: str | None = None) ->
     incoming = f"{table}__incoming"
     spark.sql(f"DROP TABLE IF EXISTS {incoming}")
     frame.write.saveAsTable(incoming, format="parquet", mode="errorifexists")
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {incoming} RENAME TO {table}")
+    _take_place(spark, incoming, table)
     comment_table(spark, table, comment)
 
 
@@ -185,17 +200,17 @@ def cluster_table(
     table: str,
     keys: Sequence[str],
     by: Sequence[str],
-    file_bytes: int = 256 * 1024 * 1024,
+    file_bytes: int = 1024 * 1024 * 1024,
 ) -> None:
-    """Rewrite every partition with files that hold disjoint ranges of ``by``.
+    """Rewrite the table with files that hold disjoint ranges of ``by``.
 
     Ranges end with a hash of each row's file and position. That is stable when
     a task is run again, and splits a value (or a row) repeated any number of
-    times. The clustered copy is complete before the table's files are replaced.
+    times. The clustered copy is complete before it takes the table's place.
     """
     files = max(1, ceil(table_bytes(spark, table) / file_bytes))
-    staging = f"{table}__clustered"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    incoming, comment = f"{table}__clustered", table_detail(spark, table, "Comment")
+    spark.sql(f"DROP TABLE IF EXISTS {incoming}")
     rows = spark.table(table)
     tie = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     clustered = (
@@ -204,13 +219,13 @@ def cluster_table(
         .sortWithinPartitions(*keys, *by)
         .drop("_tie")
     )
-    _create(spark, staging, rows.schema, keys)
-    _overwrite_present(clustered, table_location(spark, staging), keys)
-    spark.sql(f"MSCK REPAIR TABLE {staging}")
-    staged = spark.table(staging).sortWithinPartitions(*keys, *by)
-    _overwrite_present(staged, table_location(spark, table), keys)
+    _create(spark, incoming, rows.schema, keys)
+    _overwrite_present(clustered, table_location(spark, incoming), keys)
+    _take_place(spark, incoming, table)
+    # Partitions still point to the former directory, if they are known at all.
+    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
     spark.catalog.refreshTable(table)
-    spark.sql(f"DROP TABLE {staging}")
+    comment_table(spark, table, comment)
 
 
 def analyze_table(spark: SparkSession, table: str) -> None:

@@ -37,7 +37,7 @@ def _keyed(spark: SparkSession, directory: str, fleet: Fleet) -> DataFrame:
         base.cast("timestamp").alias("base"),
         (vendor % 2 + 1).cast("bigint").alias("VendorID"),
         amount.alias("amount"),
-        F.regexp_extract("_metadata.file_path", r"([^/]+\.parquet)", 1).alias(SOURCE_FILE),
+        F.col("_metadata.file_name").alias(SOURCE_FILE),
     )
 
 
