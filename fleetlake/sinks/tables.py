@@ -8,13 +8,14 @@ the partitions that were there before are checked afterwards.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from math import ceil
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from fleetlake.model import LAYERS, Lake
 from fleetlake.operators.shaping import column
@@ -85,6 +86,14 @@ def partition_predicate(frame: DataFrame, keys: Sequence[str]) -> str:
     return predicate
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _columns(fields: Iterable[StructField]) -> str:
+    return ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
+
+
 def _evolve(spark: SparkSession, table: str, incoming: StructType) -> None:
     """Add the columns the table lacks; a changed type is refused."""
     known = {f.name.lower(): f for f in spark.table(table).schema}
@@ -98,25 +107,22 @@ def _evolve(spark: SparkSession, table: str, incoming: StructType) -> None:
     if changed:
         raise ValueError(f"{table} would change column types: {changed}")
     if added:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_columns(added)})")
 
 
 def _create(
-    spark: SparkSession, table: str, schema: StructType, keys: Sequence[str]
+    spark: SparkSession, table: str, schema: StructType, keys: Sequence[str] = ()
 ) -> None:
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    by = ", ".join(f"`{k}`" for k in keys)
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({by})")
+    by = f" PARTITIONED BY ({', '.join(map(_quoted, keys))})" if keys else ""
+    spark.sql(f"CREATE TABLE {table} ({_columns(schema)}) USING parquet{by}")
 
 
 def _overwrite_present(frame: DataFrame, location: str, keys: Sequence[str]) -> None:
-    (
-        frame.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
-        .parquet(location)
-    )
+    """Write the partitions (or the unpartitioned rows) the frame carries."""
+    writer = frame.write.mode("overwrite")
+    if keys:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*keys)
+    writer.parquet(location)
 
 
 def replace_partitions(
@@ -160,14 +166,26 @@ def replace_partitions(
     comment_table(spark, table, comment)
 
 
-def _take_place(spark: SparkSession, incoming: str, table: str) -> None:
-    """Let the finished table ``incoming`` become ``table``.
+def _write_aside(frame: DataFrame, table: str, keys: Sequence[str] = ()) -> str:
+    """Write the frame to a new table beside ``table``; nothing stays on failure."""
+    spark, aside = frame.sparkSession, f"{table}__{uuid4().hex[:12]}"
+    _create(spark, aside, frame.schema, keys)
+    try:
+        _overwrite_present(frame, table_location(spark, aside), keys)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+        raise
+    return aside
+
+
+def _take_place(spark: SparkSession, aside: str, table: str) -> None:
+    """Let the finished table ``aside`` become ``table``.
 
     Only names and directories change. If this is interrupted, all rows are
     still there under one of the two names.
     """
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {incoming} RENAME TO {table}")
+    spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
 
 
 def overwrite_table(frame: DataFrame, table: str, comment: str | None = None) -> None:
@@ -177,10 +195,7 @@ def overwrite_table(frame: DataFrame, table: str, comment: str | None = None) ->
     so a failed job leaves the old table, and ``frame`` may read it.
     """
     spark = frame.sparkSession
-    incoming = f"{table}__incoming"
-    spark.sql(f"DROP TABLE IF EXISTS {incoming}")
-    frame.write.saveAsTable(incoming, format="parquet", mode="errorifexists")
-    _take_place(spark, incoming, table)
+    _take_place(spark, _write_aside(frame, table), table)
     comment_table(spark, table, comment)
 
 
@@ -209,9 +224,7 @@ def cluster_table(
     times. The clustered copy is complete before it takes the table's place.
     """
     files = max(1, ceil(table_bytes(spark, table) / file_bytes))
-    incoming, comment = f"{table}__clustered", table_detail(spark, table, "Comment")
-    spark.sql(f"DROP TABLE IF EXISTS {incoming}")
-    rows = spark.table(table)
+    rows, comment = spark.table(table), table_detail(spark, table, "Comment")
     tie = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     clustered = (
         rows.select(*rows.columns, tie.alias("_tie"))
@@ -219,10 +232,8 @@ def cluster_table(
         .sortWithinPartitions(*keys, *by)
         .drop("_tie")
     )
-    _create(spark, incoming, rows.schema, keys)
-    _overwrite_present(clustered, table_location(spark, incoming), keys)
-    _take_place(spark, incoming, table)
-    # Partitions still point to the former directory, if they are known at all.
+    _take_place(spark, _write_aside(clustered, table, keys), table)
+    # The new directory's partitions are not in the catalog yet.
     spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
     spark.catalog.refreshTable(table)
     comment_table(spark, table, comment)
