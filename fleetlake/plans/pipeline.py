@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from fleetlake.operators import marts, quality
 from fleetlake.operators.shaping import apply_contract
 from fleetlake.operators.trips import all_fleets
 from fleetlake.sinks import tables
-from fleetlake.sources.landing import read_landing
+from fleetlake.sources.landing import inventory, read_landing, require_months
 
 CLUSTER_BY = ("trip_type", "pickup_datetime")
 
@@ -76,9 +77,10 @@ class Pipeline:
             rebalance=True,
             sort_by=CLUSTER_BY,
         )
-        # Not partitioned: a rejected pickup may be missing or absurd.
+        # Not partitioned: a rejected pickup may be missing or absurd. Few rows
+        # come from many tasks, so they are gathered into files of a fair size.
         tables.overwrite_table(
-            quality.rejected(trips, rules),
+            quality.rejected(trips, rules).hint("rebalance"),
             lake.quarantine,
             comment="Rejected trips with the names of the rules they failed",
         )
@@ -118,3 +120,9 @@ class Pipeline:
             self.load_trusted(fleet)
         self.load_fact()
         self.load_marts()
+
+    def require_landed(self, start: date, end: date) -> None:
+        """Stop unless every month from ``start`` to ``end`` has a file, per fleet."""
+        for fleet in self.fleets:
+            landed = inventory(self.spark, self.lake.landing_root(fleet))
+            require_months(landed, start, end)

@@ -239,9 +239,12 @@ def cluster_table(
     comment_table(spark, table, comment)
 
 
-def analyze_table(spark: SparkSession, table: str) -> None:
-    """Row count and column statistics for the optimizer."""
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+def analyze_table(
+    spark: SparkSession, table: str, columns: Sequence[str] | None = None
+) -> None:
+    """Row count and column statistics for the optimizer; by default all columns."""
+    which = f"COLUMNS {', '.join(map(_quoted, columns))}" if columns else "ALL COLUMNS"
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR {which}")
 
 
 def describe(spark: SparkSession, table: str) -> DataFrame:

@@ -44,12 +44,20 @@ def route_by_name(name: Column) -> Column:
     )
 
 
+def _parquet_files(spark: SparkSession, path: str) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    return reader.load(path).select("path", "length")
+
+
 def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Landed files: path, size, month. Reads the listing, never the contents."""
+    """Landed files: path, size, month. Reads the listing, never the contents.
+
+    The pattern stops at the months, so each directory is listed once, however
+    many files it holds.
+    """
+    months = f"{root.rstrip('/')}/ref_year=*/ref_month=*"
     try:
-        files = spark.read.format("binaryFile").load(
-            f"{root.rstrip('/')}/ref_year=*/ref_month=*/*.parquet"
-        )
+        files = _parquet_files(spark, months)
     except AnalysisException as missing:
         raise ValueError(f"no parquet file under {root}") from missing
     year, month = ref_month_of(F.col("path"))
@@ -140,18 +148,13 @@ def schema_groups(spark: SparkSession, paths: list[str]) -> list[SchemaGroup]:
             merged[key] = merged[key].combine(group) if key in merged else group
         return list(merged.values())
     # One month whose own files disagree: go down to its files.
-    files = [r.path for r in _files(spark, paths[0]).orderBy("path").collect()]
+    files = [r.path for r in _parquet_files(spark, paths[0]).orderBy("path").collect()]
     if files and files != paths:
         return schema_groups(spark, files)
     snake_names(spark.read.parquet(paths[0]).columns)  # says which names collide
     raise ValueError(f"the schema of {paths[0]} cannot be read")
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-    return reader.load(path).select("path")
-
-
 def _read_group(spark: SparkSession, root: str, group: SchemaGroup) -> DataFrame:
     """One scan: strings, lineage, and the month as a real partition column.
 
@@ -191,6 +194,8 @@ def read_landing(spark: SparkSession, root: str) -> DataFrame:
         .orderBy(*FILE_MONTH)
         .collect()
     )
+    if not months:
+        raise ValueError(f"no parquet file under {root}")
     strays = [m.example for m in months if not m.ref_year]
     if strays:
         raise ValueError(f"path outside the expected layout: {strays[0]}")
