@@ -12,14 +12,16 @@ from pyspark.sql import functions as F
 _WHOLE = {"bigint", "int", "smallint", "tinyint"}
 
 
-def lenient_cast(column: Column, kind: str) -> Column:
+def lenient_cast(column: Column, kind: str, text: bool = True) -> Column:
     """``try_cast``, reading whole numbers also from decimal text.
 
-    An identifier published as double arrives as ``'1.0'``; going through
-    double first would lose digits of large identifiers, so that is only the
-    second attempt.
+    An identifier published as double arrives as ``'1.0'`` and is read as one.
+    Going through double would lose digits of large identifiers, so plain digits
+    are read directly. The point is looked for first, because a cast that fails
+    inside ``try_cast`` costs an exception, far too much for every row.
     """
-    direct = column.try_cast(kind)
-    if kind in _WHOLE:
-        return F.coalesce(direct, column.try_cast("double").try_cast(kind))
-    return direct
+    if not text or kind not in _WHOLE:
+        return column.try_cast(kind)
+    through_double = column.try_cast("double").try_cast(kind)
+    direct = F.coalesce(column.try_cast(kind), through_double)
+    return F.when(column.contains("."), through_double).otherwise(direct)

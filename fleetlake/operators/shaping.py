@@ -29,13 +29,13 @@ def apply_contract(frame: DataFrame, contract: Contract) -> DataFrame:
     A missing source column stops the run here, naming what is missing and
     what there is. Malformed values become NULL.
     """
-    present = set(frame.columns)
-    missing = sorted({source for source, _ in contract.values()} - present)
+    present = dict(frame.dtypes)
+    missing = sorted({source for source, _ in contract.values()} - present.keys())
     if missing:
         raise ValueError(f"missing source columns {missing}; available: {sorted(present)}")
     return frame.select(
         *(
-            lenient_cast(column(source), kind).alias(target)
+            lenient_cast(column(source), kind, present[source] == "string").alias(target)
             for target, (source, kind) in contract.items()
         )
     )

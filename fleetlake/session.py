@@ -10,10 +10,9 @@ SETTINGS = {
     # Adaptive execution sizes shuffles and splits a hot month on rebalance.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Files of a few hundred MB instead of the 64 MB default, even if that
-    # leaves some cores without a task.
+    # Files of a few hundred MB instead of the 64 MB default. Input too small for
+    # that is still spread over all cores (parallelismFirst stays on).
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.files.maxPartitionBytes": "256m",
     # Upper bound for adaptive execution to coalesce from.
     "spark.sql.shuffle.partitions": "4000",
