@@ -7,7 +7,7 @@ branch per schema, not per file.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -26,6 +26,8 @@ from fleetlake.operators.shaping import column
 _MONTH_DIRECTORY = r"ref_year=(\d{4})/ref_month=(\d{2})"
 _PUBLISHED_NAME = r"(yellow|green)_tripdata_(\d{4})-(\d{2})\.parquet$"
 
+_PROBES_AT_A_TIME = 8
+
 
 def ref_month_of(path: Column) -> tuple[Column, Column]:
     """Year and month text of a landing path; both empty when it has none."""
@@ -102,24 +104,17 @@ class SchemaGroup:
     paths: tuple[str, ...]
     schema: StructType
 
-    def combine(self, other: SchemaGroup) -> SchemaGroup:
-        return SchemaGroup(self.paths + other.paths, self.schema)
-
-    def signature(self) -> frozenset[tuple[str, str]]:
-        return frozenset((f.name, f.dataType.simpleString()) for f in self.schema)
-
 
-def _common_schema(spark: SparkSession, paths: Iterable[str]) -> StructType | None:
-    """Merged footer schema of the paths, or None when types or names conflict.
+def _common_schema(spark: SparkSession, path: str) -> StructType | None:
+    """Merged footer schema of a month (or file); None when its files conflict.
 
-    Footers are read by executors. Only conflicts are answered with None; any
-    other failure is the caller's.
+    All footers are read, by executors, so a column that only some files have is
+    not missed. Any failure other than a conflict is the caller's.
     """
     conflict = ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE")
     reader = spark.read.option("mergeSchema", True).option("pathGlobFilter", "*.parquet")
     try:
-        # Without basePath the month directories are not columns here.
-        schema = reader.option("recursiveFileLookup", True).parquet(*paths).schema
+        schema = reader.option("recursiveFileLookup", True).parquet(path).schema
         snake_names(schema.names)
     except (Py4JJavaError, PySparkException) as error:
         if any(code in str(error) for code in conflict):
@@ -131,28 +126,33 @@ def _common_schema(spark: SparkSession, paths: Iterable[str]) -> StructType | No
 
 
 def schema_groups(spark: SparkSession, paths: list[str]) -> list[SchemaGroup]:
-    """Split the (sorted) paths where schemas become incompatible.
+    """The paths (months, usually) grouped by equal schema.
 
-    Drift happens at a few points in time, so halving finds them in a handful
-    of probes instead of one per month.
+    One small footer job per month, several at a time. A month whose own files
+    disagree is taken apart into its files.
     """
-    schema = _common_schema(spark, paths)
-    if schema is not None:
-        return [SchemaGroup(tuple(paths), schema)]
-    if len(paths) > 1:
-        middle = len(paths) // 2
-        found = schema_groups(spark, paths[:middle]) + schema_groups(spark, paths[middle:])
-        merged: dict[frozenset, SchemaGroup] = {}
-        for group in found:
-            key = group.signature()
-            merged[key] = merged[key].combine(group) if key in merged else group
-        return list(merged.values())
-    # One month whose own files disagree: go down to its files.
-    files = [r.path for r in _parquet_files(spark, paths[0]).orderBy("path").collect()]
-    if files and files != paths:
-        return schema_groups(spark, files)
-    snake_names(spark.read.parquet(paths[0]).columns)  # says which names collide
-    raise ValueError(f"the schema of {paths[0]} cannot be read")
+    with ThreadPoolExecutor(_PROBES_AT_A_TIME) as pool:
+        schemas = list(pool.map(lambda path: _common_schema(spark, path), paths))
+    found = []
+    for path, schema in zip(paths, schemas, strict=True):
+        if schema is not None:
+            found.append(SchemaGroup((path,), schema))
+        else:
+            found.extend(schema_groups(spark, _files_of(spark, path)))
+    groups: dict[frozenset[tuple[str, str]], SchemaGroup] = {}
+    for group in found:
+        columns = frozenset((f.name, f.dataType.simpleString()) for f in group.schema)
+        known = groups.get(columns, SchemaGroup((), group.schema))
+        groups[columns] = SchemaGroup(known.paths + group.paths, known.schema)
+    return list(groups.values())
+
+
+def _files_of(spark: SparkSession, path: str) -> list[str]:
+    files = [row.path for row in _parquet_files(spark, path).orderBy("path").collect()]
+    if files == [path]:
+        snake_names(spark.read.parquet(path).columns)  # says which names collide
+        raise ValueError(f"the schema of {path} cannot be read")
+    return files
 
 
 def _read_group(spark: SparkSession, root: str, group: SchemaGroup) -> DataFrame:

@@ -14,7 +14,7 @@ def put(frame, root, year, month, mode="errorifexists"):
 
 
 def columns(spark, **values):
-    """One row with the given literals; a tuple is (expression, type)."""
+    """One row of the given values; a tuple is (expression, type)."""
     exprs = (
         f"CAST({v[0]} AS {v[1]}) AS `{k}`" if isinstance(v, tuple) else f"{v} AS `{k}`"
         for k, v in values.items()
@@ -67,15 +67,24 @@ def test_groups_follow_the_schema_not_the_file(spark, drifted):
     assert sorted(len(g.paths) for g in groups) == [3, 4]
 
 
-def test_columns_that_only_come_or_go_share_a_scan(spark, tmp_path, plan):
+def test_columns_that_come_are_null_before(spark, tmp_path):
     root = str(tmp_path / "green")
     put(columns(spark, a=("1", "int")), root, 2023, "01")
     put(columns(spark, a=("2", "int"), b=("3", "int")), root, 2023, "02")
     frame = landing.read_landing(spark, root)
-    assert plan(frame, "simple").count("FileScan parquet") == 1
     assert sorted((r.a, r.b) for r in frame.collect()) == [("1", None), ("2", "3")]
 
 
+def test_a_column_in_some_files_of_a_month_is_not_missed(spark, tmp_path, plan):
+    root = str(tmp_path / "green")
+    for _ in range(3):
+        put(columns(spark, a=("1", "int")), root, 2023, "01", mode="append")
+    put(columns(spark, a=("2", "int"), b=("3", "int")), root, 2023, "01", mode="append")
+    frame = landing.read_landing(spark, root)
+    assert plan(frame, "simple").count("FileScan parquet") == 1
+    assert sorted((r.a, r.b) for r in frame.collect()) == [*[("1", None)] * 3, ("2", "3")]
+
+
 def test_files_of_one_month_may_disagree(spark, tmp_path):
     root = str(tmp_path / "green")
     put(columns(spark, fee=("1", "bigint")), root, 2023, "01")
