@@ -21,9 +21,11 @@ from fleetlake.model import REASONS, Limits
 class Rule:
     """``passes`` is called late, because a Column needs a running session.
 
-    ``null_after`` names the rules that have failed whenever this rule's
-    condition is NULL. When all of them block, the condition can be used as it
-    is in the filter for accepted rows, and reaches the parquet scan.
+    ``null_after`` names rules that fail whenever this rule's condition is NULL,
+    for any data: the null rule of the one column it compares. When they block,
+    the condition can be used as it is in the filter for accepted rows, and
+    reaches the parquet scan. Durations have none, since a frame may come with
+    any duration.
     """
 
     name: str
@@ -62,13 +64,11 @@ def standard_rules(limits: Limits) -> tuple[Rule, ...]:
             not_positive,
             "The trip ends at or before its start.",
             lambda: F.col(minutes) > 0,
-            null_after=(no_pickup, no_dropoff),
         ),
         Rule(
             too_long,
             f"The trip lasts more than {limits.max_minutes} minutes.",
             lambda: F.col(minutes) <= limits.max_minutes,
-            null_after=(no_pickup, no_dropoff),
         ),
         Rule(
             out_of_window,
