@@ -200,6 +200,29 @@ def test_written_files_are_sorted(spark, database):
         assert rows == sorted(rows)
 
 
+def test_a_hot_month_is_written_by_several_tasks(spark, database):
+    """One month holds nine rows of ten."""
+    table, key = f"{database}.t", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    usual = spark.conf.get(key)
+    frame = spark.range(0, 200_000, 1, 8).select(
+        F.xxhash64("id").alias("v"),
+        F.when(F.col("id") >= 0, "2023").alias("pickup_year"),
+        F.when(F.col("id") % 10 > 0, "05")
+        .otherwise(F.lpad((F.col("id") / 10 % 4 + 1).cast("int").cast("string"), 2, "0"))
+        .alias("pickup_month"),
+    )
+    spark.conf.set(key, "128k")
+    try:
+        tables.replace_partitions(frame, table, EVENT, rebalance=True, sort_by=("v",))
+    finally:
+        spark.conf.set(key, usual)
+    files = spark.table(table).select("pickup_month", "_metadata.file_path").distinct()
+    per_month = dict(map(tuple, files.groupBy("pickup_month").count().collect()))
+    assert per_month["05"] >= 4 and min(per_month.values()) == 1
+    assert spark.table(table).exceptAll(frame).count() == 0
+    assert spark.table(table).count() == 200_000
+
+
 def test_clustering_keeps_rows_and_separates_files(spark, database):
     table = f"{database}.t"
     frame = skewed(spark)
