@@ -1,9 +1,9 @@
 """Exact quantiles without sorting the data or holding a group in one task.
 
 Equal values are first counted together (map-side, so a hot value or a hot group
-costs one row per task), then located in two steps: which bucket holds the rank,
-and where in that bucket. Buckets grow with the logarithm of the value, so there
-are at most about 131,000 of them for any input.
+costs one row per task). The rank is then found in three steps: in at most about
+131,000 coarse buckets, in the 65,536 parts of the bucket that holds it, and
+among the values of that part, a ten-millionth of their size apart.
 """
 
 from __future__ import annotations
@@ -15,17 +15,32 @@ from pyspark.sql import functions as F
 
 _STEPS_PER_DOUBLING = 64
 _MAX_LOG2 = 1024.0
+_PARTS = 65_536
 
 
-def _bucket(value: Column) -> Column:
-    """Monotone in ``value``; infinity and NaN share the last bucket.
+def _signed(size: Column, value: Column) -> Column:
+    """A whole number growing with ``value``, given one growing with its size.
 
-    Declared non-null, so that the join below adds no null filter to one of its
-    sides and both can reuse one shuffle of the counts.
+    Declared non-null, so that the joins below add no null filter to one of their
+    sides and all can reuse one shuffle of the counts.
     """
-    size = F.least(F.log2(F.lit(1.0) + F.abs(value)), F.lit(_MAX_LOG2))
-    step = F.floor(size * _STEPS_PER_DOUBLING).cast("int")
-    return F.coalesce(F.when(value < 0, -step).otherwise(step), F.lit(0))
+    whole = F.floor(size).cast("int")
+    return F.coalesce(F.when(value < 0, -whole).otherwise(whole), F.lit(0))
+
+
+def _coarse(value: Column) -> Column:
+    """Logarithmic bucket; infinity and NaN share the last one."""
+    doublings = F.least(F.log2(F.lit(1.0) + F.abs(value)), F.lit(_MAX_LOG2))
+    return _signed(doublings * _STEPS_PER_DOUBLING, value)
+
+
+def _fine(value: Column, coarse: Column) -> Column:
+    """Equal parts of the value's coarse bucket."""
+    step = F.abs(coarse) / F.lit(float(_STEPS_PER_DOUBLING))
+    low = F.pow(F.lit(2.0), step) - 1.0
+    width = (low + 1.0) * (2.0 ** (1 / _STEPS_PER_DOUBLING) - 1.0)
+    part = (F.abs(value) - low) / width * _PARTS
+    return _signed(F.greatest(F.lit(0.0), F.least(part, F.lit(_PARTS - 1.0))), value)
 
 
 def value_counts(frame: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -37,6 +52,23 @@ def value_counts(frame: DataFrame, value: str, by: Sequence[str] = ()) -> DataFr
     )
 
 
+def _holding_rank(frame: DataFrame, within: Sequence[str], order: str) -> DataFrame:
+    """Of each group's rows in order, the one holding ``rank``, counted anew in it."""
+    upwards = Window.partitionBy(*within).orderBy(order)
+    below = F.sum("n").over(upwards) - F.col("n")
+    return frame.withColumn("rank", F.col("rank") - below).where(
+        (F.col("rank") > 0) & (F.col("rank") <= F.col("n"))
+    )
+
+
+def _inside(counted: DataFrame, targets: DataFrame, keys: list[str], path: list[str]) -> DataFrame:
+    """The counts on the targets' path, once per target. NULL is a group as well."""
+    renamed = targets.select(*(F.col(c).alias(f"at_{c}") for c in keys + path), "name", "rank")
+    same = [F.col(k).eqNullSafe(F.col(f"at_{k}")) for k in keys]
+    same += [F.col(c) == F.col(f"at_{c}") for c in path]
+    return counted.join(renamed, same).select(*counted.columns, "name", "rank")
+
+
 def exact_quantiles(
     counts: DataFrame, shares: Mapping[str, float], by: Sequence[str] = ()
 ) -> DataFrame:
@@ -45,8 +77,10 @@ def exact_quantiles(
     The quantile is the value at rank ``ceil(share * n)``.
     """
     keys = list(by)
-    counted = counts.withColumn("bucket", _bucket(F.col("value")))
-    upwards = Window.partitionBy(*keys).orderBy("bucket")
+    value, target = F.col("value"), [*keys, "name"]
+    counted = counts.withColumn("coarse", _coarse(value)).withColumn(
+        "fine", _fine(value, F.col("coarse"))
+    )
     wanted = F.inline(
         F.array(
             *(
@@ -56,33 +90,23 @@ def exact_quantiles(
         )
     )
     rank = F.greatest(F.ceil(F.col("share") * F.col("total")), F.lit(1).cast("bigint"))
-    targets = (
-        counted.groupBy(*keys, "bucket")
+    coarse = (
+        counted.groupBy(*keys, "coarse")
         .agg(F.sum("n").alias("n"))
-        .select(
-            *keys,
-            "bucket",
-            (F.sum("n").over(upwards) - F.col("n")).alias("below"),
-            "n",
-            F.sum("n").over(Window.partitionBy(*keys)).alias("total"),
-        )
+        .withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
         .select("*", wanted)
-        .withColumn("rank", rank - F.col("below"))
-        .where((F.col("rank") > 0) & (F.col("rank") <= F.col("n")))
-        .select(
-            *(F.col(k).alias(f"group_{k}") for k in keys),
-            F.col("bucket").alias("target"),
-            "name",
-            "rank",
-        )
+        .withColumn("rank", rank)
     )
-    same_group = [F.col(k).eqNullSafe(F.col(f"group_{k}")) for k in keys]
-    inside = Window.partitionBy(*keys, "target", "name").orderBy("value")
-    located = (
-        counted.join(targets, [F.col("bucket") == F.col("target"), *same_group])
-        .withColumn("upto", F.sum("n").over(inside))
-        .where(F.col("upto") >= F.col("rank"))
+    in_bucket = _holding_rank(coarse, target, "coarse")
+    fine = (
+        _inside(counted, in_bucket, keys, ["coarse"])
+        .groupBy(*target, "rank", "coarse", "fine")
+        .agg(F.sum("n").alias("n"))
     )
-    return located.groupBy(*keys).agg(
-        *(F.min(F.when(F.col("name") == k, F.col("value"))).alias(k) for k in shares)
+    in_part = _holding_rank(fine, target, "fine")
+    values = _inside(counted, in_part, keys, ["coarse", "fine"])
+    return (
+        _holding_rank(values, target, "value")
+        .groupBy(*keys)
+        .agg(*(F.min(F.when(F.col("name") == k, value)).alias(k) for k in shares))
     )

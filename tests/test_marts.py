@@ -127,6 +127,7 @@ VALUES = {
     "cents": lambda r: round(r.uniform(-50, 300), 2),
     "one value mostly": lambda r: 10.0 if r.random() < 0.7 else r.uniform(0, 100),
     "wide": lambda r: math.copysign(10 ** r.uniform(-5, 300), r.random() - 0.5),
+    "dense": lambda r: 100.0 + r.random() * 1e-7,
     "special": lambda r: r.choice([float("inf"), float("-inf"), float("nan"), 0.0, -0.0, 1.0]),
 }
 
@@ -168,5 +169,5 @@ def test_quantiles_read_their_input_once(spark, plan, tmp_path):
     frame = exploration.amount_quantiles(spark.read.parquet(path))
     frame.collect()
     final = plan(frame, "simple").split("== Initial Plan ==")[0]
-    assert final.count("FileScan parquet") == 1 and final.count("ReusedExchange") == 2
+    assert final.count("FileScan parquet") == 1 and final.count("ReusedExchange") == 3
     assert "CartesianProduct" not in final and "NestedLoop" not in final
