@@ -60,7 +60,7 @@ class Sample:
         """
         stored = {f: f"{self.folder}/derived/{f.name}" for f in FLEETS}
         for fleet, path in stored.items():
-            self.derived(fleet).write.parquet(path)
+            self.derived(fleet).write.mode("overwrite").parquet(path)
         return {fleet: self.spark.read.parquet(path) for fleet, path in stored.items()}
 
     def trusted(self, fleet: Fleet) -> DataFrame:

@@ -115,11 +115,18 @@ def drifting_files(trips: DataFrame, fleet: Fleet) -> list[DataFrame]:
 
 
 def land(spark: SparkSession, directory: str, fleet: Fleet, root: str) -> None:
-    """Write the drifting files below ``root``, laid out by file month."""
+    """Write the drifting files below ``root``, laid out by file month.
+
+    The parts share no month, so landing again replaces what is there.
+    """
     for part in drifting_files(sample_trips(spark, directory, fleet), fleet):
-        part.hint("rebalance", *FILE_MONTH).write.partitionBy(*FILE_MONTH).mode(
-            "append"
-        ).parquet(f"{root.rstrip('/')}/{fleet.name}")
+        (
+            part.hint("rebalance", *FILE_MONTH)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*FILE_MONTH)
+            .parquet(f"{root.rstrip('/')}/{fleet.name}")
+        )
 
 
 def published_names(trips: dict[Fleet, DataFrame]) -> DataFrame:
