@@ -22,10 +22,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document that names its group, of each group of near duplicates."""
+    """The document that names its group, of each group of near duplicates, and once where it is repeated.
+
+    Documents without an id stay, as no id tells which of them names a group.
+    """
     groups = simhash.near_duplicates(docs)
     first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.select(COLUMNS).join(first, "doc_id", "left_semi")
+    named = docs.select(COLUMNS).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(COLUMNS).union(docs.select(COLUMNS).where("doc_id IS NULL"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
