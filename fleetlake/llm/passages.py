@@ -181,9 +181,12 @@ def answers(entries: DataFrame, buckets: int, compare: Callable[[list[bytes]], l
 
 
 def with_answers(stored_batches: DataFrame, found: DataFrame, name: str) -> DataFrame:
-    """The batches with their answers as an array of (bucket, codes); at most one per bucket."""
+    """The batches with their answers as an array of (bucket, codes); at most one per bucket.
+
+    Answers grow with the batches, so neither side is ever broadcast.
+    """
     gathered = found.groupBy("batch").agg(F.collect_list(F.struct("bucket", "codes")).alias(name))
-    return stored_batches.join(gathered, "batch", "left")
+    return stored_batches.join(gathered.hint("merge"), "batch", "left")
 
 
 def codes_of(answer: list[dict] | None, sizes: np.ndarray) -> np.ndarray:

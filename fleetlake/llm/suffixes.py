@@ -93,7 +93,8 @@ class Pieces:
                 self.windows = np.minimum(np.append(self.first[1:], n), last) - self.first
                 at_anchor = lowest[self.first].astype(np.int64)
                 keys = np.empty(len(self.first), _KEY)
-                keys["anchor"] = gram[at_anchor]
+                # anchors have the smallest hashes; spread them again over all buckets
+                keys["anchor"] = P.mix(gram[at_anchor] ^ _ODD[2])
                 ends = self.first + self.windows + length - 1
                 digest, short, text = xxhash.xxh3_128_digest, xxhash.xxh32_intdigest, self.buffer
                 hashes = np.frombuffer(b"".join([digest(text[a:b]) for a, b in zip(self.first.tolist(), ends.tolist())]), "<u8")
