@@ -32,11 +32,11 @@ def target_shares(docs: DataFrame, source_column: str = "source", weights: dict[
         table = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair]) if weights else None
         share = F.lit(1) if table is None else F.coalesce(table[F.coalesce("source", F.lit(""))], F.lit(1))
         return counts.select("source", "n", F.greatest(share, F.lit(1)).cast("int").alias("share"))
-    largest = counts.agg(F.max("n").alias("most"), F.count("*").alias("sources"))
-    finest = F.greatest(F.least(F.lit(RESOLUTION), F.floor(F.lit(LONGEST_CYCLE) / F.col("sources"))), F.lit(1))
-    share = F.greatest(F.floor(finest * F.sqrt(F.col("n") / F.col("most"))), F.lit(1))
-    # one row
-    return counts.crossJoin(F.broadcast(largest)).select("source", "n", share.cast("int").alias("share"))
+    counts = stored(counts)
+    most, sources = counts.agg(F.max("n"), F.count("*")).first()
+    finest = max(1, min(RESOLUTION, LONGEST_CYCLE // max(sources, 1)))
+    share = F.greatest(F.floor(F.lit(finest) * F.sqrt(F.col("n") / F.lit(most))), F.lit(1))
+    return counts.select("source", "n", share.cast("int").alias("share"))
 
 
 def schedule(shares: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 SAMPLE_ROWS = 500
 _BLANK = r"[\\x20\\x09-\\x0D]"
 
@@ -91,8 +93,7 @@ def order_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_column: s
 
     Only the order comes from the sample, no threshold. Without rows the order stays.
     """
-    sample = docs.select(F.col(text_column).alias("text")).limit(rows)
-    sample = docs.sparkSession.createDataFrame(sample.collect(), "text string")
+    sample = stored(docs.select(F.col(text_column).alias("text")).limit(rows))
 
     def run(rule: Rule) -> tuple[float, int]:
         started = time.perf_counter()
