@@ -336,8 +336,8 @@ LIMIT 100""",
     "agg_hourly": _HOURLY,
     "raw_partition_counts": """SELECT trip_type, ref_year, ref_month, COUNT(*) AS linhas
 FROM both_fleets GROUP BY ALL""",
-    "lineage_counts": """SELECT ref_year, ref_month, 'lineitem.parquet' AS _source_file,
-  COUNT(*) AS linhas FROM yellow GROUP BY ref_year, ref_month""",
+    "lineage_counts": """SELECT trip_type, ref_year, ref_month, ref_year AS path_year,
+  ref_month AS path_month, TRUE AS has_file, COUNT(*) AS linhas FROM both_fleets GROUP BY ALL""",
     "eda_volume_by_ref_month": """SELECT trip_type, ref_year, ref_month,
   COUNT(*) AS corridas FROM both_fleets GROUP BY ALL""",
     "eda_profile": """SELECT COUNT(*) AS total_corridas,

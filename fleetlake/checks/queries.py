@@ -392,7 +392,7 @@ def raw_partition_counts(s: Sample) -> DataFrame:
 
 @_query
 def lineage_counts(s: Sample) -> DataFrame:
-    return exploration.rows_by_source_file(s.trusted(YELLOW))
+    return exploration.lineage_by_month(s.raw_tables)
 
 
 @_query

@@ -35,10 +35,11 @@ def event_range(start: str, end: str, event: str = "pickup_datetime") -> Column:
 
     The month columns are separate strings, so Spark cannot derive the second
     half by itself; without it a range over one day lists and opens every month.
+    The end is exclusive, so the last month is that of the microsecond before it.
     """
     first, last = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
     in_range = (F.col(event) >= first) & (F.col(event) < last)
-    low, high = F.to_date(first), F.to_date(last)
+    low, high = F.to_date(first), F.to_date(last - F.expr("INTERVAL '0.000001' SECOND"))
     year, month = F.col("pickup_year"), F.col("pickup_month")
     from_low = (year > year_text(low)) | (
         (year == year_text(low)) & (month >= month_text(low))

@@ -9,23 +9,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import exact_quantiles, value_counts
+
 MONTH_KEYS = ("trip_type", "pickup_year", "pickup_month")
 HOUR_KEYS = (*MONTH_KEYS, "pickup_hour")
 
 
-def monthly_mart(fact: DataFrame, accuracy: int = 10_000) -> DataFrame:
-    """Volume, revenue, ticket and approximate median per fleet and event month."""
+# The monthly mart's columns after its keys, as published.
+MONTHLY_COLUMNS = (
+    "trip_count",
+    "total_revenue",
+    "avg_total_amount_per_trip",
+    "median_total_amount",
+    "total_passengers",
+    "reference_month",
+)
+
+
+def monthly_mart(fact: DataFrame) -> DataFrame:
+    """Volume, revenue, ticket and exact median per fleet and event month.
+
+    The median comes from counts of equal amounts and is the same at any size.
+    """
     amount = F.col("total_amount")
+    sums = fact.groupBy(*MONTH_KEYS).agg(
+        F.count(F.lit(1)).alias("trip_count"),
+        F.sum(amount).alias("total_revenue"),
+        F.avg(amount).alias("avg_total_amount_per_trip"),
+        F.sum("passenger_count").alias("total_passengers"),
+    )
+    counts = value_counts(fact, "total_amount", MONTH_KEYS)
+    medians = exact_quantiles(counts, {"median_total_amount": 0.5}, MONTH_KEYS)
+    renamed = medians.select(*(F.col(k).alias(f"at_{k}") for k in MONTH_KEYS), "median_total_amount")
+    same = [F.col(k).eqNullSafe(F.col(f"at_{k}")) for k in MONTH_KEYS]
     return (
-        fact.groupBy(*MONTH_KEYS)
-        .agg(
-            F.count(F.lit(1)).alias("trip_count"),
-            F.sum(amount).alias("total_revenue"),
-            F.avg(amount).alias("avg_total_amount_per_trip"),
-            F.percentile_approx(amount, 0.5, accuracy).alias("median_total_amount"),
-            F.sum("passenger_count").alias("total_passengers"),
-        )
+        sums.join(renamed, same, "left")
         .withColumn("reference_month", F.concat_ws("-", "pickup_year", "pickup_month"))
+        .select(*MONTH_KEYS, *MONTHLY_COLUMNS)
     )
 
 

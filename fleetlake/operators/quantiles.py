@@ -1,9 +1,9 @@
 """Exact quantiles without sorting the data or holding a group in one task.
 
 Equal values are first counted together (map-side, so a hot value or a hot group
-costs one row per task). The rank is then found in three steps: in at most about
-131,000 coarse buckets, in the 65,536 parts of the bucket that holds it, and
-among the values of that part, a ten-millionth of their size apart.
+costs one row per task). The rank is then found digit by digit: first among the
+powers of two, then in three steps of 18 bits that use up all 52 bits of a double's
+mantissa. Each step orders 262,144 sums per group at most, whatever the values are.
 """
 
 from __future__ import annotations
@@ -13,34 +13,46 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_STEPS_PER_DOUBLING = 64
-_MAX_LOG2 = 1024.0
-_PARTS = 65_536
+_DIGIT = 262_144
+_DIGITS = 3
+_ABOVE_ZERO = 1_100
+_LAST = 3_000
 
 
-def _signed(size: Column, value: Column) -> Column:
-    """A whole number growing with ``value``, given one growing with its size.
-
-    Declared non-null, so that the joins below add no null filter to one of their
-    sides and all can reuse one shuffle of the counts.
-    """
-    whole = F.floor(size).cast("int")
-    return F.coalesce(F.when(value < 0, -whole).otherwise(whole), F.lit(0))
-
+def _exponent(value: Column) -> Column:
+    """Power of two just below a positive finite value; the logarithm may round past it."""
+    guess = F.floor(F.log2(value))
+    return (
+        F.when(F.pow(F.lit(2.0), guess) > value, guess - 1)
+        .when((guess < 1023) & (F.pow(F.lit(2.0), F.least(guess + 1, F.lit(1023))) <= value), guess + 1)
+        .otherwise(guess)
+    )
 
-def _coarse(value: Column) -> Column:
-    """Logarithmic bucket; infinity and NaN share the last one."""
-    doublings = F.least(F.log2(F.lit(1.0) + F.abs(value)), F.lit(_MAX_LOG2))
-    return _signed(doublings * _STEPS_PER_DOUBLING, value)
 
+def _digits(value: Column) -> list[Column]:
+    """Whole numbers that order doubles from first to last; zero has a bucket of its own.
 
-def _fine(value: Column, coarse: Column) -> Column:
-    """Equal parts of the value's coarse bucket."""
-    step = F.abs(coarse) / F.lit(float(_STEPS_PER_DOUBLING))
-    low = F.pow(F.lit(2.0), step) - 1.0
-    width = (low + 1.0) * (2.0 ** (1 / _STEPS_PER_DOUBLING) - 1.0)
-    part = (F.abs(value) - low) / width * _PARTS
-    return _signed(F.greatest(F.lit(0.0), F.least(part, F.lit(_PARTS - 1.0))), value)
+    Dividing by a power of two and taking off whole parts are exact. Negative values
+    have negative digits. Infinity and NaN have buckets of their own. Declared non-null,
+    so that the joins below add no null filter and all can reuse one shuffle.
+    """
+    size = F.abs(value)
+    finite = (size > 0) & (size < float("inf"))
+    power = F.when(finite, _exponent(size))
+    sign = F.when(value < 0, -1).otherwise(1)
+    first = (
+        F.when(F.isnan(value), _LAST + 1)
+        .when(size == 0, 0)
+        .when(finite, sign * (power + _ABOVE_ZERO))
+        .otherwise(sign * _LAST)
+    )
+    digits = [first]
+    rest = size / F.pow(F.lit(2.0), power) - 1.0
+    for _ in range(_DIGITS):
+        digit = F.floor(rest * _DIGIT)
+        digits.append(sign * digit)
+        rest = rest * _DIGIT - digit
+    return [F.coalesce(d.cast("int"), F.lit(0)) for d in digits]
 
 
 def value_counts(frame: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -76,11 +88,9 @@ def exact_quantiles(
 
     The quantile is the value at rank ``ceil(share * n)``.
     """
-    keys = list(by)
+    keys, path = list(by), [f"digit{i}" for i in range(_DIGITS + 1)]
     value, target = F.col("value"), [*keys, "name"]
-    counted = counts.withColumn("coarse", _coarse(value)).withColumn(
-        "fine", _fine(value, F.col("coarse"))
-    )
+    counted = counts.select("*", *(d.alias(name) for d, name in zip(_digits(value), path)))
     wanted = F.inline(
         F.array(
             *(
@@ -90,23 +100,25 @@ def exact_quantiles(
         )
     )
     rank = F.greatest(F.ceil(F.col("share") * F.col("total")), F.lit(1).cast("bigint"))
-    coarse = (
-        counted.groupBy(*keys, "coarse")
+    sums = (
+        counted.groupBy(*keys, path[0])
         .agg(F.sum("n").alias("n"))
         .withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
         .select("*", wanted)
         .withColumn("rank", rank)
     )
-    in_bucket = _holding_rank(coarse, target, "coarse")
-    fine = (
-        _inside(counted, in_bucket, keys, ["coarse"])
-        .groupBy(*target, "rank", "coarse", "fine")
-        .agg(F.sum("n").alias("n"))
-    )
-    in_part = _holding_rank(fine, target, "fine")
-    values = _inside(counted, in_part, keys, ["coarse", "fine"])
+    found = _holding_rank(sums, target, path[0])
+    for known in range(1, len(path)):
+        sums = (
+            _inside(counted, found, keys, path[:known])
+            .groupBy(*target, "rank", *path[: known + 1])
+            .agg(F.sum("n").alias("n"))
+        )
+        found = _holding_rank(sums, target, path[known])
+    # reading n keeps this use of the counts equal to the others, so that all share one shuffle
     return (
-        _holding_rank(values, target, "value")
+        _inside(counted, found, keys, path)
+        .where("n > 0")
         .groupBy(*keys)
         .agg(*(F.min(F.when(F.col("name") == k, value)).alias(k) for k in shares))
     )

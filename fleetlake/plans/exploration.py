@@ -16,6 +16,7 @@ from fleetlake.functions import buckets
 from fleetlake.functions.timing import minutes_between
 from fleetlake.model import FILE_MONTH, SOURCE_FILE, Fleet
 from fleetlake.operators.quantiles import exact_quantiles, value_counts
+from fleetlake.sources.landing import ref_month_of
 
 
 def _stack(frames: list[DataFrame]) -> DataFrame:
@@ -39,6 +40,19 @@ def rows_by_source_file(raw: DataFrame) -> DataFrame:
     return raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("linhas")).orderBy(*keys)
 
 
+def lineage_by_month(frames: Mapping[Fleet, DataFrame]) -> DataFrame:
+    """Rows of each file month by the month that their file's path names, and by having a file."""
+    counted = []
+    for fleet, raw in frames.items():
+        year, month = ref_month_of(F.col(SOURCE_FILE))
+        files = rows_by_source_file(raw).select(
+            *FILE_MONTH, year.alias("path_year"), month.alias("path_month"), (F.length(SOURCE_FILE) > 0).alias("has_file"), "linhas"
+        )
+        summed = files.groupBy(*FILE_MONTH, "path_year", "path_month", "has_file").agg(F.sum("linhas").alias("linhas"))
+        counted.append(summed.select(F.lit(fleet.name).alias("trip_type"), "*"))
+    return _stack(counted).orderBy("trip_type", *FILE_MONTH)
+
+
 def column_profile(trusted: DataFrame, fleet: Fleet) -> DataFrame:
     rows = F.count(F.lit(1))
     amount, riders = F.col("total_amount"), F.col("passenger_count")

@@ -61,9 +61,9 @@ def test_good_trip_has_no_reason(spark):
         ({"passenger_count": 0.0}, []),
         (
             {
-                "pickup_datetime": dt.datetime(2002, 1, 1),
-                "trip_duration_minutes": -1440.0,
-                "total_amount": -1.0,
+                "pickup_datetime": dt.datetime(2041, 6, 30, 5),
+                "trip_duration_minutes": 0.0,
+                "total_amount": -73.25,
             },
             ["duracao_nao_positiva", "fora_da_janela_de_analise", "total_amount_negativo"],
         ),
