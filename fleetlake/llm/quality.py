@@ -63,7 +63,8 @@ RULES = (
     *BASE_RULES,
     Rule("symbols", "10 * {n_symbols} > {n_words}"),
     Rule("word_length", "{word_chars} < 2 * {n_words} OR {word_chars} > 15 * {n_words}"),
-    Rule("repeated_lines", "10 * {n_dup_lines} > 3 * {n_lines}"),
+    # a share of lines says little where there are few
+    Rule("repeated_lines", "{n_dup_lines} > 2 AND 10 * {n_dup_lines} > 3 * {n_lines}"),
 )
 
 

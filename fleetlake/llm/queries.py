@@ -125,7 +125,7 @@ WITH words AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
-        OR 10 * n_dup_lines > 3 * n_lines) AS kept
+        OR n_dup_lines > 2 AND 10 * n_dup_lines > 3 * n_lines) AS kept
 FROM judged
 """
 
