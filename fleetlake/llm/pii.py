@@ -187,7 +187,8 @@ def spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, i
     stages = transducers(text)
     if stages[-1].text == text:
         return base, base
-    taken = sorted((b, a, k) for k, a, b in base)
+    # spans of a kind are disjoint and in order, so one of them tells whether any overlaps
+    taken = [[(b, a) for k, a, b in base if k == kind] for kind in range(len(KINDS))]
     added = []
     for kind, start, end in plain_spans(stages[-1].text):
         touched = False
@@ -195,8 +196,8 @@ def spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, i
             touched |= stage.touched(start, end)
             start, end = stage.source(start, end)
         if touched:
-            i = bisect.bisect_right(taken, (start, len(text), 9))
-            if not any(a < end and k == kind for b, a, k in taken[i : i + 64]):
+            i = bisect.bisect_right(taken[kind], (start, len(text)))
+            if i == len(taken[kind]) or taken[kind][i][1] >= end:
                 added.append((kind, start, end))
     return base, sorted(base + added)
 

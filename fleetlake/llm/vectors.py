@@ -96,6 +96,8 @@ def _unit(rows: list, dimensions: int) -> np.ndarray:
     out = np.zeros((len(rows), dimensions))
     for i, row in enumerate(rows):
         out[i, : len(row)] = row
+    # by a power of two, exactly, so that squares neither overflow nor vanish
+    out = np.ldexp(out, -np.frexp(np.abs(out).max(axis=1, keepdims=True, initial=0.0))[1])
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
@@ -167,8 +169,7 @@ def near_duplicates(
     v = F.col(vector_column).cast("array<double>")
     rows = table.select(F.col(id_column).cast("long").alias("vec_id"), v.alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    good = F.coalesce(F.col("vec_id").isNotNull() & finite & (norm > 0) & (norm < float("inf")), F.lit(False))
+    good = F.coalesce(F.col("vec_id").isNotNull() & finite & F.exists("v", lambda x: x != 0), F.lit(False))
     valid = rows.where(good)
     classes = stored(
         valid.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))

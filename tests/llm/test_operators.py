@@ -204,6 +204,13 @@ EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 
 
+def test_size_of_vectors_does_not_matter(spark):
+    rows = [(1, [1e-200, 2e-200]), (2, [1e200, 2e200]), (3, [-1.0, 0.5]), (4, [0.0, -0.0]), (5, [1e308, 1e308]), (6, [1.0, float("inf")])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(frame).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 5: (2, 1), 3: (0, 3), 4: (0, 4), 6: (0, 6)}
+
+
 def test_plain_identifiers_equal_the_patterns():
     rng = random.Random(1)
     for _ in range(4000):
@@ -239,6 +246,15 @@ def test_clean_texts_have_no_identifiers(docs, nothing):
     assert clean.columns == docs.columns and bag(clean, "doc_id", "row") == bag(docs, "doc_id", "row")
 
 
+def test_a_disguised_span_gives_way_however_many_others_lie_in_it():
+    hosts = ".".join(["1"] * 400)
+    text = f"someone @ {hosts} and plain@{hosts}"
+    base, every = pii.spans(text)
+    assert {k for k, _, _ in base} >= {0, 1} and set(base) <= set(every)
+    mails = sorted((a, b) for k, a, b in every if k == 0)
+    assert len(mails) == 2 and all(b <= c for (_, b), (c, _) in zip(mails, mails[1:]))
+
+
 def test_redaction_replaces_overlapping_spans_once():
     assert [s[0] for s in pii.spans("call +1 415 555 0100 x")[0]] == [3]
 
