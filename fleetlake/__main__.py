@@ -27,6 +27,12 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--prefix", default="", help="put before every database name")
     parser.add_argument("--first", type=_month, default="2023-01", help="first month, YYYY-MM")
     parser.add_argument("--last", type=_month, default="2023-05", help="last month, YYYY-MM")
+    parser.add_argument(
+        "--months",
+        nargs=2,
+        metavar=("FROM", "TO"),
+        help="file months that raw and trusted take, YYYY-MM; by default all",
+    )
     parser.add_argument(
         "--steps", nargs="+", choices=STEPS, default=list(STEPS[:-1]), help="what to run"
     )
@@ -50,7 +56,7 @@ def run(options: argparse.Namespace, spark) -> None:
             whole[step]()
         else:
             for fleet in FLEETS:
-                per_fleet[step](fleet)
+                per_fleet[step](fleet, options.months and tuple(options.months))
 
 
 if __name__ == "__main__":

@@ -81,6 +81,22 @@ _CANONICAL = (
     "total_amount, ref_year, ref_month, trip_duration_minutes, pickup_year, "
     "pickup_month, pickup_hour, pickup_date"
 )
+_FACT_TYPES = {
+    "trip_type": "string",
+    "vendor_id": "bigint",
+    "pickup_datetime": "timestamp",
+    "dropoff_datetime": "timestamp",
+    "passenger_count": "double",
+    "total_amount": "double",
+    "ref_year": "string",
+    "ref_month": "string",
+    "trip_duration_minutes": "double",
+    "pickup_year": "string",
+    "pickup_month": "string",
+    "pickup_hour": "int",
+    "pickup_date": "date",
+    "_source_file": "string",
+}
 _WITH_FILE = f"{_CANONICAL}, _source_file"
 
 
@@ -300,6 +316,13 @@ FROM both_fleets GROUP BY ALL""",
     "layer_report": _report(),
     "layer_monthly": _MONTHLY,
     "layer_hourly": _HOURLY,
+    "report_stamped": f"""SELECT rule_name, rows_evaluated, CAST(1 AS BIGINT) AS stamped
+FROM ({_report()})""",
+    "fact_statistics": "SELECT TRUE AS exists, COUNT(*) AS linhas FROM fact",
+    "fact_columns": " UNION ALL ".join(
+        f"SELECT '{name}' AS col_name, '{kind}' AS data_type, COUNT({name}) AS preenchidos FROM fact"
+        for name, kind in _FACT_TYPES.items()
+    ),
     "partition_slice": _slice(),
     "partition_replace": _replaced(),
     "table_overwrite": _BY_REASON,

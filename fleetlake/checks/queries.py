@@ -213,6 +213,38 @@ def layer_hourly(s: Sample) -> DataFrame:
     return _rounded_hourly(s.mart_tables[1])
 
 
+@_query
+def report_stamped(s: Sample) -> DataFrame:
+    """How many rows of the stored report have a time, by rule."""
+    return s.fact_tables[2].groupBy("rule_name", "rows_evaluated").agg(
+        F.count("measured_at").alias("stamped")
+    )
+
+
+@_query
+def fact_statistics(s: Sample) -> DataFrame:
+    """Rows of the fact as the catalog knows them after its statistics were taken."""
+    assert s.fact_tables
+    tables.analyze_table(s.spark, s.lake.fact, ["total_amount"])
+    known = s.spark.sql(f"DESCRIBE TABLE EXTENDED {s.lake.fact}").where("col_name = 'Statistics'")
+    rows = F.regexp_extract("data_type", r"(\d+) rows", 1).cast("long")
+    return known.select(F.lit(tables.table_exists(s.spark, s.lake.fact)).alias("exists"), rows.alias("linhas"))
+
+
+@_query
+def fact_columns(s: Sample) -> DataFrame:
+    """Columns of the fact as described, with their filled rows."""
+    fact = s.fact_tables[0]
+    described = (
+        tables.describe(s.spark, s.lake.fact)
+        .where("data_type <> '' AND NOT startswith(col_name, '#')")
+        .select("col_name", "data_type")
+        .distinct()
+    )
+    filled = fact.agg(*(F.count(name).alias(name) for name in fact.columns))
+    return described.join(filled.unpivot([], fact.columns, "col_name", "preenchidos"), "col_name")
+
+
 @_query
 def partition_slice(s: Sample) -> DataFrame:
     """The predicate naming every file month of the yellow trips."""
@@ -320,7 +352,7 @@ def trusted_sample(s: Sample) -> DataFrame:
 
 @_query
 def fact_month_sample(s: Sample) -> DataFrame:
-    return answers.fact_month_sample(s.fact, YEAR, MONTH)
+    return answers.fact_month_sample(s.fact_tables[0], YEAR, MONTH)
 
 
 # --- quality ---------------------------------------------------------------------
@@ -361,12 +393,12 @@ def dq_report(s: Sample) -> DataFrame:
 
 @_query
 def dq_report_sorted(s: Sample) -> DataFrame:
-    return exploration.sorted_report(quality.rule_report(s.trips, s.rules))
+    return exploration.sorted_report(s.fact_tables[2].drop("measured_at"))
 
 
 @_query
 def rejections_by_reason(s: Sample) -> DataFrame:
-    return quality.rejections_by_reason(s.quarantine).orderBy(F.desc("linhas"), "motivo")
+    return quality.rejections_by_reason(s.fact_tables[1]).orderBy(F.desc("linhas"), "motivo")
 
 
 # --- marts -----------------------------------------------------------------------
@@ -437,65 +469,65 @@ def eda_quantiles(s: Sample) -> DataFrame:
 
 @_query
 def eda_quarantine_share(s: Sample) -> DataFrame:
-    return exploration.quarantine_share(s.fact, s.quarantine)
+    return exploration.quarantine_share(*s.fact_tables[:2])
 
 
-# --- answers ---------------------------------------------------------------------
+# --- answers, from the stored fact, marts and quarantine ---------------------------------------------------------------------
 
 
 @_query
 def q1a_avg_ticket(s: Sample) -> DataFrame:
-    return answers.average_ticket(s.monthly)
+    return answers.average_ticket(s.mart_tables[0])
 
 
 @_query
 def q1a_from_fact(s: Sample) -> DataFrame:
-    return answers.average_ticket_from_fact(s.fact)
+    return answers.average_ticket_from_fact(s.fact_tables[0])
 
 
 @_query
 def q1b_avg_monthly_revenue(s: Sample) -> DataFrame:
-    return answers.average_monthly_revenue(s.monthly)
+    return answers.average_monthly_revenue(s.mart_tables[0])
 
 
 @_query
 def q1c_sensitivity(s: Sample) -> DataFrame:
-    return answers.sensitivity(s.fact, s.quarantine)
+    return answers.sensitivity(*s.fact_tables[:2])
 
 
 @_query
 def q1_sensitivity_change(s: Sample) -> DataFrame:
-    return answers.sensitivity_change(s.fact, s.quarantine)
+    return answers.sensitivity_change(*s.fact_tables[:2])
 
 
 @_query
 def q1_weighted_vs_simple(s: Sample) -> DataFrame:
-    return answers.weighted_and_simple_ticket(s.monthly)
+    return answers.weighted_and_simple_ticket(s.mart_tables[0])
 
 
 @_query
 def q2a_hourly_occupancy(s: Sample) -> DataFrame:
-    return answers.hourly_occupancy(s.hourly, YEAR, MONTH)
+    return answers.hourly_occupancy(s.mart_tables[1], YEAR, MONTH)
 
 
 @_query
 def q2a_from_fact(s: Sample) -> DataFrame:
-    return answers.hourly_occupancy_from_fact(s.fact, *sample_trips.FOCUS_RANGE)
+    return answers.hourly_occupancy_from_fact(s.fact_tables[0], *sample_trips.FOCUS_RANGE)
 
 
 @_query
 def q2b_typical_day(s: Sample) -> DataFrame:
-    return answers.typical_day(s.hourly, YEAR, MONTH)
+    return answers.typical_day(s.mart_tables[1], YEAR, MONTH)
 
 
 @_query
 def q2c_by_fleet(s: Sample) -> DataFrame:
-    return answers.occupancy_by_fleet(s.hourly, YEAR, MONTH)
+    return answers.occupancy_by_fleet(s.mart_tables[1], YEAR, MONTH)
 
 
 @_query
 def q2d_hourly_volume_occupancy(s: Sample) -> DataFrame:
-    return answers.volume_and_occupancy(s.hourly, YEAR, MONTH)
+    return answers.volume_and_occupancy(s.mart_tables[1], YEAR, MONTH)
 
 
 def queries() -> dict[str, Query]:

@@ -18,7 +18,7 @@ from fleetlake.operators import marts, quality
 from fleetlake.operators.shaping import apply_contract
 from fleetlake.operators.trips import all_fleets
 from fleetlake.sinks import tables
-from fleetlake.sources.landing import inventory, read_landing, require_months
+from fleetlake.sources.landing import Months, in_months, inventory, read_landing, require_months
 
 CLUSTER_BY = ("trip_type", "pickup_datetime")
 
@@ -33,22 +33,26 @@ class Pipeline:
     def setup(self) -> None:
         tables.create_databases(self.spark, self.lake)
 
-    def load_raw(self, fleet: Fleet) -> DataFrame:
-        """Landed files are laid out by month already, so nothing is shuffled."""
+    def load_raw(self, fleet: Fleet, months: Months | None = None) -> DataFrame:
+        """Landed files are laid out by month already, so nothing is shuffled.
+
+        ``months`` limits what is read and replaced, here and in the next layer.
+        """
         table = self.lake.raw(fleet)
         tables.replace_partitions(
-            read_landing(self.spark, self.lake.landing_root(fleet)),
+            read_landing(self.spark, self.lake.landing_root(fleet), months),
             table,
             FILE_MONTH,
             comment=f"{fleet.name} trips as landed: every column text, every row kept",
         )
         return self.spark.table(table)
 
-    def load_trusted(self, fleet: Fleet) -> DataFrame:
+    def load_trusted(self, fleet: Fleet, months: Months | None = None) -> DataFrame:
         """One projection over the raw table; the month layout carries over."""
         table = self.lake.trusted(fleet)
+        raw = self.spark.table(self.lake.raw(fleet)).where(in_months(months))
         tables.replace_partitions(
-            apply_contract(self.spark.table(self.lake.raw(fleet)), fleet.contract()),
+            apply_contract(raw, fleet.contract()),
             table,
             FILE_MONTH,
             comment=f"{fleet.name} trips: selected columns, typed, not filtered",
@@ -112,12 +116,12 @@ class Pipeline:
         tables.cluster_table(self.spark, self.lake.fact, EVENT_MONTH, CLUSTER_BY)
         tables.analyze_table(self.spark, self.lake.fact)
 
-    def run(self, fleets: Iterable[Fleet] | None = None) -> None:
-        """Every layer once. ``fleets`` limits what is ingested, not the fact."""
+    def run(self, fleets: Iterable[Fleet] | None = None, months: Months | None = None) -> None:
+        """Every layer once. ``fleets`` and ``months`` limit what is ingested, not the fact."""
         self.setup()
         for fleet in fleets or self.fleets:
-            self.load_raw(fleet)
-            self.load_trusted(fleet)
+            self.load_raw(fleet, months)
+            self.load_trusted(fleet, months)
         self.load_fact()
         self.load_marts()
 

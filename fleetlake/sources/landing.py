@@ -7,7 +7,7 @@ branch per schema, not per file.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -26,7 +26,8 @@ from fleetlake.operators.shaping import column
 _MONTH_DIRECTORY = r"ref_year=(\d{4})/ref_month=(\d{2})"
 _PUBLISHED_NAME = r"(yellow|green)_tripdata_(\d{4})-(\d{2})\.parquet$"
 
-_PROBES_AT_A_TIME = 8
+#: First and last month as YYYY-MM, both included.
+Months = tuple[str, str]
 
 
 def ref_month_of(path: Column) -> tuple[Column, Column]:
@@ -48,14 +49,14 @@ def route_by_name(name: Column) -> Column:
 
 def _parquet_files(spark: SparkSession, path: str) -> DataFrame:
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-    return reader.load(path).select("path", "length")
+    return reader.option("recursiveFileLookup", True).load(path).select("path", "length")
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
     """Landed files: path, size, month. Reads the listing, never the contents.
 
-    The pattern stops at the months, so each directory is listed once, however
-    many files it holds.
+    Each directory is listed once, however many files it holds. Directories inside
+    a month belong to it, here as in reading.
     """
     months = f"{root.rstrip('/')}/ref_year=*/ref_month=*"
     try:
@@ -105,8 +106,8 @@ class SchemaGroup:
     schema: StructType
 
 
-def _common_schema(spark: SparkSession, path: str) -> StructType | None:
-    """Merged footer schema of a month (or file); None when its files conflict.
+def _common_schema(spark: SparkSession, paths: list[str]) -> StructType | None:
+    """Merged footer schema of months (or files); None when their files conflict.
 
     All footers are read, by executors, so a column that only some files have is
     not missed. Any failure other than a conflict is the caller's.
@@ -114,7 +115,7 @@ def _common_schema(spark: SparkSession, path: str) -> StructType | None:
     conflict = ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE")
     reader = spark.read.option("mergeSchema", True).option("pathGlobFilter", "*.parquet")
     try:
-        schema = reader.option("recursiveFileLookup", True).parquet(path).schema
+        schema = reader.option("recursiveFileLookup", True).parquet(*paths).schema
         snake_names(schema.names)
     except (Py4JJavaError, PySparkException) as error:
         if any(code in str(error) for code in conflict):
@@ -125,20 +126,31 @@ def _common_schema(spark: SparkSession, path: str) -> StructType | None:
     return schema
 
 
+def _agreeing(spark: SparkSession, paths: list[str]) -> Iterator[SchemaGroup]:
+    """Runs of paths whose footers merge.
+
+    One job merges all footers. Only where they conflict are the paths halved and
+    tried again, down to the files of a month that disagree, so that jobs grow
+    with the conflicts and not with months or files.
+    """
+    schema = _common_schema(spark, paths)
+    if schema is not None:
+        yield SchemaGroup(tuple(paths), schema)
+        return
+    if len(paths) == 1:
+        paths = _files_of(spark, paths[0])
+    middle = len(paths) // 2
+    for half in (paths[:middle], paths[middle:]):
+        if half:
+            yield from _agreeing(spark, half)
+
+
 def schema_groups(spark: SparkSession, paths: list[str]) -> list[SchemaGroup]:
-    """The paths (months, usually) grouped by equal schema.
+    """The paths (months, usually) in groups that one scan each can read.
 
-    One small footer job per month, several at a time. A month whose own files
-    disagree is taken apart into its files.
+    Groups of equal schema are one.
     """
-    with ThreadPoolExecutor(_PROBES_AT_A_TIME) as pool:
-        schemas = list(pool.map(lambda path: _common_schema(spark, path), paths))
-    found = []
-    for path, schema in zip(paths, schemas, strict=True):
-        if schema is not None:
-            found.append(SchemaGroup((path,), schema))
-        else:
-            found.extend(schema_groups(spark, _files_of(spark, path)))
+    found = list(_agreeing(spark, paths))
     groups: dict[frozenset[tuple[str, str]], SchemaGroup] = {}
     for group in found:
         columns = frozenset((f.name, f.dataType.simpleString()) for f in group.schema)
@@ -184,22 +196,33 @@ def _read_group(spark: SparkSession, root: str, group: SchemaGroup) -> DataFrame
     )
 
 
-def read_landing(spark: SparkSession, root: str) -> DataFrame:
-    """All landed files of one fleet, united by name; absent columns are NULL."""
+def in_months(months: Months | None) -> Column:
+    """Whether the file month is one of ``months``; always where none are given."""
+    return F.lit(True) if months is None else F.concat_ws("-", *FILE_MONTH).between(*months)
+
+
+def read_landing(spark: SparkSession, root: str, months: Months | None = None) -> DataFrame:
+    """Landed files of one fleet, united by name; absent columns are NULL.
+
+    ``months`` limits what is opened; by default it is everything.
+    """
     root = root.rstrip("/")
-    months = (
+    landed = (
         inventory(spark, root)
         .groupBy(*FILE_MONTH)
         .agg(F.min("path").alias("example"))
         .orderBy(*FILE_MONTH)
         .collect()
     )
-    if not months:
+    if not landed:
         raise ValueError(f"no parquet file under {root}")
-    strays = [m.example for m in months if not m.ref_year]
+    strays = [m.example for m in landed if not m.ref_year]
     if strays:
         raise ValueError(f"path outside the expected layout: {strays[0]}")
-    directories = [f"{root}/ref_year={m.ref_year}/ref_month={m.ref_month}" for m in months]
+    chosen = [m for m in landed if not months or months[0] <= f"{m.ref_year}-{m.ref_month}" <= months[1]]
+    if not chosen:
+        raise ValueError(f"no parquet file under {root} from {months[0]} to {months[1]}")
+    directories = [f"{root}/ref_year={m.ref_year}/ref_month={m.ref_month}" for m in chosen]
     parts = [_read_group(spark, root, g) for g in schema_groups(spark, directories)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 

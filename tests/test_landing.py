@@ -94,6 +94,36 @@ def test_files_of_one_month_may_disagree(spark, tmp_path):
     assert sorted(r.fee for r in frame.collect()) == ["1", "1.5", "x"]
 
 
+def test_probing_grows_with_conflicts(spark, tmp_path, monkeypatch):
+    root, probed = str(tmp_path / "green"), []
+    for month in range(1, 13):
+        kind = "int" if month < 8 else "string"
+        put(columns(spark, fee=("3", kind)), root, 2021, f"{month:02d}")
+    whole = landing._common_schema
+    monkeypatch.setattr(landing, "_common_schema", lambda s, paths: probed.append(len(paths)) or whole(s, paths))
+    assert landing.read_landing(spark, root, ("2021-01", "2021-07")).count() == 7
+    assert probed == [7]
+    probed.clear()
+    assert landing.read_landing(spark, root).count() == 12
+    assert probed[0] == 12 and len(probed) < 9
+
+
+def test_chosen_months_alone_are_opened(spark, drifted):
+    frame = landing.read_landing(spark, drifted, ("2023-03", "2023-04"))
+    assert {f.rsplit("/", 2)[-2] for f in frame.inputFiles()} == {"ref_month=03", "ref_month=04"}
+    with pytest.raises(ValueError, match="from 2024-01"):
+        landing.read_landing(spark, drifted, ("2024-01", "2024-02"))
+
+
+def test_directories_in_a_month_are_listed_and_read(spark, tmp_path):
+    root = str(tmp_path / "green")
+    put(columns(spark, a=("1", "int")), root, 2022, "05")
+    columns(spark, a=("2", "int")).coalesce(1).write.parquet(f"{root}/ref_year=2022/ref_month=05/more")
+    assert landing.inventory(spark, root).count() == 2
+    rows = landing.read_landing(spark, root).select("a", "ref_year", "ref_month").collect()
+    assert sorted(map(tuple, rows)) == [("1", "2022", "05"), ("2", "2022", "05")]
+
+
 def test_colliding_names_in_a_file_are_refused(spark, tmp_path):
     root = str(tmp_path / "green")
     put(columns(spark, VendorID="1", vendor_id="2"), root, 2023, "01")

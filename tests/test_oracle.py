@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from fleetlake.checks import oracle, queries
 
 DIRECTORY = entry.SMOKE_DIRECTORY
 needs_data = pytest.mark.skipif(not os.path.isdir(DIRECTORY), reason="no generated tables")
@@ -19,11 +20,26 @@ def connection():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries.queries()) == set(oracle.oracle_sql())
+    assert set(queries.queries()) <= set(entry.queries())
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", ["q1a_avg_ticket", "q2a_hourly_occupancy", "q2b_typical_day", "q2c_by_fleet"])
+def test_answers_read_the_marts(spark, plan, name):
+    text = plan(queries.queries()[name](spark, DIRECTORY))
+    assert text.count("Scan parquet") == 2 and text.count("agg_trip_") >= 1 and "fct_taxi_trip" not in text
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["q2a_from_fact", "fact_month_sample"])
+def test_answers_about_a_month_open_its_partition(spark, plan, name):
+    text = plan(queries.queries()[name](spark, DIRECTORY))
+    assert "fct_taxi_trip" in text and "PartitionFilters: [" in text and "PartitionFilters: []" not in text
+
+
+@needs_data
+@pytest.mark.parametrize("name", sorted(queries.queries()))
 def test_query_equals_oracle(spark, connection, name):
     assert check.compare(spark, connection, DIRECTORY, name) is None
 
