@@ -8,7 +8,9 @@ from it; so within probed lists no link is lost. Candidates are ranked again by
 cosine in double precision. Lists are compared in cells of bounded size that report
 counts and a spanning set of links, never the pairs.
 
-Centroids are fitted on a sample of at most `SAMPLE_ROWS` vectors; all vectors are
+There are about twice the root of the vectors' number of lists, `MOST_LISTS` at most.
+Centroids are fitted on a sample of `SAMPLE_ROWS` vectors, or `ROWS_A_LIST` for each list
+where that is more, but of at most `SAMPLE_NUMBERS` components together; all vectors are
 indexed and all are queries.
 """
 
@@ -25,7 +27,9 @@ from pyspark.sql import functions as F
 from .common import components, ship, stored
 
 SAMPLE_ROWS = 20_000
-MOST_LISTS = 1024
+ROWS_A_LIST = 8
+SAMPLE_NUMBERS = 1 << 24
+MOST_LISTS = 16_384
 SUBSPACES = 8
 CODES = 64
 PROBES = 8
@@ -42,12 +46,23 @@ def _nearest(rows: np.ndarray, centres: np.ndarray, n: int = 1) -> np.ndarray:
     return np.take_along_axis(found, np.take_along_axis(distance, found, 1).argsort(1), 1)
 
 
+def _all_nearest(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Index of the nearest centre of each row, in blocks of bounded size."""
+    step = _step(len(centres))
+    return np.concatenate([_nearest(rows[i : i + step], centres)[:, 0] for i in range(0, len(rows), step)])
+
+
+def _step(centres: int) -> int:
+    """Rows whose distances to that many centres are held at a time."""
+    return max(64, min(2048, (1 << 22) // centres))
+
+
 def _centres(rows: np.ndarray, n: int, rounds: int = 12) -> np.ndarray:
     """k-means from evenly spaced rows of a shuffle with a fixed seed."""
     rng = np.random.default_rng(7)
     centres = rows[rng.permutation(len(rows))[:n]].copy()
     for _ in range(rounds):
-        mine = np.concatenate([_nearest(rows[i : i + 4096], centres)[:, 0] for i in range(0, len(rows), 4096)])
+        mine = _all_nearest(rows, centres)
         counts = np.bincount(mine, minlength=len(centres))
         sums = np.zeros_like(centres)
         np.add.at(sums, mine, rows)
@@ -66,7 +81,7 @@ class Index:
     @staticmethod
     def fit(rows: np.ndarray, lists: int) -> Index:
         coarse = _centres(rows, min(lists, len(rows)))
-        left = rows - coarse[_nearest(rows, coarse)[:, 0]]
+        left = rows - coarse[_all_nearest(rows, coarse)]
         width = -(-rows.shape[1] // SUBSPACES)
         left = np.pad(left, ((0, 0), (0, width * SUBSPACES - rows.shape[1])))
         books = [_centres(left[:, i * width : (i + 1) * width], min(CODES, len(rows))) for i in range(SUBSPACES)]
@@ -152,6 +167,18 @@ def _compare(index: Index, dimensions: int, threshold: float):
     return compare
 
 
+def _sample(classes: DataFrame, n: int, rows: int, dimensions: int) -> list:
+    """The vectors of the least hashes of their ids, `rows` or what SAMPLE_NUMBERS allows.
+
+    A bound on the hash leaves little more than these to be ordered.
+    """
+    rows = max(1, min(rows, SAMPLE_NUMBERS // dimensions))
+    order = F.xxhash64("rep")
+    share = (1.2 * rows + 1000) / n
+    some = classes if share >= 1 else classes.where(order < int(-(2**63) + share * 2**64))
+    return [r[0] for r in some.orderBy(order, "rep").select("v").limit(rows).collect()]
+
+
 def near_duplicates(
     table: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", threshold: float = 0.9, probes: int = PROBES
 ) -> DataFrame:
@@ -177,14 +204,15 @@ def near_duplicates(
     n, dimensions = classes.agg(F.count("*"), F.max(F.size("v"))).first()
     if not n:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    sample = classes.select("v").orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE_ROWS).collect()
-    index = Index.fit(_unit([r[0] for r in sample], dimensions), max(1, min(MOST_LISTS, int(2 * n**0.5))))
+    lists = max(1, min(MOST_LISTS, int(2 * n**0.5)))
+    index = Index.fit(_unit(_sample(classes, n, max(SAMPLE_ROWS, lists * ROWS_A_LIST), dimensions), dimensions), lists)
     reach = min(probes, len(index.coarse))
+    step = _step(len(index.coarse))
 
     def assign(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            for at in range(0, len(part), 2048):
-                some = part.iloc[at : at + 2048]
+            for at in range(0, len(part), step):
+                some = part.iloc[at : at + step]
                 unit = _unit(list(some["v"]), dimensions)
                 near = _nearest(unit, index.coarse, reach)
                 codes, error = index.encode(unit - index.coarse[near[:, 0]])

@@ -406,3 +406,10 @@ def test_empty_tables_give_no_rows(spark, nothing):
     assert simhash.near_duplicates(nothing).count() == 0
     assert vectors.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     assert html_text.main_text(spark.createDataFrame([], "page_id long, html string")).count() == 0
+
+
+def test_sample_of_vectors_is_that_of_the_least_hashes(spark):
+    rows = spark.range(6000).select(F.col("id").alias("rep"), F.array(F.col("id").cast("double")).alias("v"))
+    expected = [r.rep for r in rows.orderBy(F.xxhash64("rep"), "rep").limit(300).collect()]
+    assert [int(v[0]) for v in vectors._sample(rows, 6000, 300, 1)] == expected
+    assert len(vectors._sample(rows, 6000, 20_000, 1)) == 6000
