@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from .common import ship, stored
 
 BATCH_BYTES = 3_000_000
+BATCH_ROWS = 200_000
 BUCKET_ENTRIES = 2_000_000
 MOST_PARTITIONS = 20_000
 _IPC = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
@@ -44,12 +45,13 @@ def unpack(blob: bytes) -> tuple[pa.Array, list[bytes]]:
 def batches(docs: DataFrame, id_column: str, text_column: str, size: int = BATCH_BYTES) -> DataFrame:
     """(batch, blob, n_bytes, n_docs): all rows in stored batches of about `size` bytes of text.
 
-    A null text is stored as empty; a longer document is a batch of its own.
+    A null text is stored as empty; a longer document is a batch of its own, or with empty
+    ones before it. A batch has `BATCH_ROWS` rows at most.
     """
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
-        n = 0
+        n = n_rows = 0
 
         def out() -> pa.RecordBatch:
             table = pa.concat_tables(held)
@@ -61,22 +63,16 @@ def batches(docs: DataFrame, id_column: str, text_column: str, size: int = BATCH
         for batch in rows:
             table = pa.Table.from_batches([batch])
             lengths = pa.compute.binary_length(table.column(1)).to_numpy()
-            start, total = 0, 0
+            start = 0
             for i, length in enumerate(lengths):
-                if n and n + total + length > size:
-                    if i > start:
-                        held.append(table.slice(start, i - start))
-                    n += total
+                if n and n + length > size or n_rows == BATCH_ROWS:
+                    held.append(table.slice(start, i - start))
                     yield out()
-                    held, n, start, total = [], 0, i, 0
-                elif total and total + length > size:
-                    held, n = [table.slice(start, i - start)], total
-                    yield out()
-                    held, n, start, total = [], 0, i, 0
-                total += int(length)
+                    held, n, n_rows, start = [], 0, 0, i
+                n += int(length)
+                n_rows += 1
             held.append(table.slice(start))
-            n += total
-        if held and sum(t.num_rows for t in held):
+        if n_rows:
             yield out()
 
     ship(docs.sparkSession)

@@ -99,6 +99,23 @@ def test_byte_strings_equal_brute_force(docs, limit):
         assert got == by_bytes(corpus(), length)
 
 
+def test_empty_texts_before_long_ones_stay_rows(spark):
+    rows = [(i, None if i % 2 else "", "a", i, "k") for i in range(6)]
+    rows += [(i, f"{i} word " * 40, "a", i, "k") for i in range(6, 10)] + [(i, "", "a", i, "k") for i in range(10, 13)]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    try:
+        docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+        words = bag(substrings.remove_repeats(docs, window=6, batch_bytes=300), "doc_id", "n_words", "n_removed", "kept")
+        left = suffixes.remove_repeats(docs, length=50, batch_bytes=300)
+        strings = Counter((a, b, c, d, bytes(e)) for a, b, c, d, e in left.collect())
+    finally:
+        spark.conf.set(key, before)
+    assert words == by_words(rows, 6)
+    assert strings == by_bytes(rows, 50)
+
+
 def test_suffix_intervals_find_common_prefixes():
     rng = random.Random(5)
     for _ in range(20):
