@@ -180,15 +180,15 @@ def transducers(text: str) -> list[Transducer]:
 
 
 def spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """Undisguised spans, and all spans; a disguised one never overlaps a plain one of its kind."""
+    """Undisguised spans, and all spans; a disguised one is left out where a plain one of its kind covers it."""
     base = plain_spans(text)
     if not _disguised(text):
         return base, base
     stages = transducers(text)
     if stages[-1].text == text:
         return base, base
-    # spans of a kind are disjoint and in order, so one of them tells whether any overlaps
-    taken = [[(b, a) for k, a, b in base if k == kind] for kind in range(len(KINDS))]
+    # spans of a kind are disjoint and in order, so one of them tells whether any covers another
+    taken = [[(a, b) for k, a, b in base if k == kind] for kind in range(len(KINDS))]
     added = []
     for kind, start, end in plain_spans(stages[-1].text):
         touched = False
@@ -197,7 +197,7 @@ def spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, i
             start, end = stage.source(start, end)
         if touched:
             i = bisect.bisect_right(taken[kind], (start, len(text)))
-            if i == len(taken[kind]) or taken[kind][i][1] >= end:
+            if not i or taken[kind][i - 1][1] < end:
                 added.append((kind, start, end))
     return base, sorted(base + added)
 

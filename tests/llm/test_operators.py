@@ -255,6 +255,22 @@ def test_disguised_identifiers_keep_their_place(spark, text, kind, found):
     assert [(s["kind"], text[s["start"] : s["end"]]) for s in row["spans"]] == [(kind, found)]
 
 
+@pytest.mark.parametrize(
+    "text, kind, plain, found",
+    [
+        ("to jоhn@example.com now", "email", "hn@example.com", "jоhn@example.com"),
+        ("john dot doe@example.com", "email", "doe@example.com", "john dot doe@example.com"),
+        ("john.doe@mail.example dot com", "email", "john.doe@mail.example", "john.doe@mail.example dot com"),
+    ],
+)
+def test_a_piece_of_a_disguised_identifier_does_not_hide_it(spark, text, kind, plain, found):
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = pii.find(frame).first()
+    assert [text[s["start"] : s["end"]] for s in row["plain"]] == [plain]
+    assert {(s["kind"], text[s["start"] : s["end"]]) for s in row["spans"]} == {(kind, plain), (kind, found)}
+    assert pii.redact(frame).first()["text"] == text.replace(found, f"<{kind}>")
+
+
 def test_clean_texts_have_no_identifiers(docs, nothing):
     for text in ("look at the dog dot", "one two", "we met at noon. Two of three left", "a.b@c", "1.2.3", "+1 2"):
         assert pii.spans(text) == ([], [])
