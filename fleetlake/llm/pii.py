@@ -60,28 +60,34 @@ def _plain(c: str) -> str:
 
 
 _STRANGE = re.compile(f"[{''.join(_LOOKALIKES)}{_INVISIBLE}{_SPACES}！-～]|(?![0-9])\\d")
-_DIGIT = r"(?:zero|one|two|three|four|five|six|seven|eight|nine|oh|[0-9])"
-_SPELLED = re.compile(rf"(?i)\b(?:plus[ ]+)?{_DIGIT}(?:[ ,.-]{{1,2}}{_DIGIT})+\b")
-_TOKEN = re.compile(r"(?i)[a-z]+|[0-9]|[^a-z0-9]+")
 _WRAPPED_AT = r"[ ]*(?:\[[ ]*at[ ]*\]|\([ ]*at[ ]*\)|\{[ ]*at[ ]*\}|<[ ]*at[ ]*>|\[[ ]*@[ ]*\]|\([ ]*@[ ]*\))[ ]*"
 _WRAPPED_DOT = r"[ ]*(?:\[[ ]*(?:dot|\.)[ ]*\]|\([ ]*(?:dot|\.)[ ]*\)|\{[ ]*(?:dot|\.)[ ]*\}|<[ ]*dot[ ]*>)[ ]*"
 _DOT = rf"(?:{_WRAPPED_DOT}|[ ]+dot[ ]+|\.)"
-_NAME = r"[A-Za-z0-9_%+-]{1,64}"
+_NAME = r"[A-Za-z0-9_%+-]++"
+_LABEL = r"[A-Za-z0-9-]++"
 # A bare "at" counts only before a host with a disguised dot; a wrapped one before any host.
+# A name is read to its end whether or not a host follows, so that no name is read twice.
 _ADDRESS = re.compile(
-    rf"(?i)(?<![A-Za-z0-9._%+-]){_NAME}(?:{_DOT}{_NAME}){{0,6}}"
-    rf"(?:(?:{_WRAPPED_AT}|[ ]*@[ ]*)[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,6}}"
-    rf"|[ ]+at[ ]+[A-Za-z0-9-]{{1,63}}(?:(?:{_WRAPPED_DOT}|[ ]+dot[ ]+)[A-Za-z0-9-]{{1,63}}){{1,6}})"
+    rf"(?i)(?<![A-Za-z0-9._%+-]){_NAME}(?:{_DOT}{_NAME})*+"
+    rf"(?P<host>(?:{_WRAPPED_AT}|[ ]*@[ ]*){_LABEL}(?:{_DOT}{_LABEL})++"
+    rf"|[ ]+at[ ]+{_LABEL}(?:(?:{_WRAPPED_DOT}|[ ]+dot[ ]+){_LABEL})++)?+"
 )
 _DISGUISE = re.compile(rf"(?i){_WRAPPED_AT}|{_WRAPPED_DOT}|[ ]+at[ ]+|[ ]+dot[ ]+|[ ]*@[ ]*")
+_DIGIT_DOT = re.compile(rf"(?i)(?<=[0-9])(?:{_WRAPPED_DOT}|[ ]+dot[ ]+)(?=[0-9])")
 _WORD = "(?:zero|one|two|three|four|five|six|seven|eight|nine|oh)"
+_PART = rf"(?:{_WORD}|[0-9]++)"
+_BETWEEN = rf"(?:{_WRAPPED_DOT}|[ ]+dot[ ]+|[ ,.()-]{{1,3}})"
+# digits of one identifier, spelled or not, with what may stand between them
+_SPELLED = re.compile(rf"(?i)\b(?:plus[ ]+)?{_PART}(?:{_BETWEEN}{_PART}\b)+")
+_TOKEN = re.compile(r"(?i)plus[ ]+|" + _WORD + r"|[0-9]+")
+_JOINT = re.compile(r"[ ,.-]{1,2}")
 _HINT = re.compile(r"[\[({<] *(?:at|dot|@|\.) *[\])}>]")
-_HINT_SPELLED = re.compile(rf"{_WORD}[ ,.-]{{1,2}}(?:[0-9][ ,.-]{{1,2}})*{_WORD}")
+_HINT_SPELLED = re.compile(rf"{_WORD}[ ,.()\[{{<-]+(?:dot[ )\]}}>]+)?(?:[0-9]|{_WORD})|[0-9][ ,.()\[\]{{}}<>-]+{_WORD}")
 
 
 def _disguised(text: str) -> bool:
     """Cheap and never wrong where it says no."""
-    low = text.lower()
+    low = text.casefold()
     return bool(
         " dot " in low or _HINT.search(low) or " @" in low or "@ " in low or _HINT_SPELLED.search(low)
         or not text.isascii() and _STRANGE.search(text)
@@ -157,25 +163,52 @@ class Transducer:
         return any(size for _, size in self._from[i : bisect.bisect_left(self._at, end)])
 
 
+def _digits(found: re.Match) -> Iterator[tuple[int, int, str]]:
+    """Edits that write the spelled digits of one identifier as digits, where it has three digits at least.
+
+    Three spelled ones show that it is read out, and single digits are joined; with fewer
+    only spelled ones that follow each other are, and signs between others stay.
+    """
+    tokens = [(t[0].casefold(), t.start() + found.start(), t.end() + found.start()) for t in _TOKEN.finditer(found[0])]
+    words = sum(t[0] in _DIGITS for t in tokens)
+    if not words or words + sum(len(t[0]) for t in tokens if t[0].isdigit()) < 3:
+        return
+    single = [t[0] in _DIGITS or len(t[0]) == 1 for t in tokens]
+    text = found.string
+    for i, (token, start, end) in enumerate(tokens):
+        if token in _DIGITS:
+            yield start, end, _DIGITS[token]
+        elif not token.isdigit():
+            yield start, end, "+"
+        if i + 1 < len(tokens) and end < tokens[i + 1][1]:
+            between = text[end : tokens[i + 1][1]]
+            if not _JOINT.fullmatch(between):
+                continue
+            spelled = token in _DIGITS and tokens[i + 1][0] in _DIGITS
+            if single[i] and single[i + 1] and (words >= 3 or spelled):
+                yield end, tokens[i + 1][1], ""
+            elif "," in between:
+                yield end, tokens[i + 1][1], " "
+
+
 def transducers(text: str) -> list[Transducer]:
-    """Homoglyphs, then spelled digits, then at/dot disguises."""
+    """Homoglyphs, then spelled digits, then at/dot disguises of addresses, then of dots between digits."""
     stages = [Transducer(text, [(m.start(), m.end(), n) for m in _STRANGE.finditer(text) if (n := _plain(m[0])) != m[0]])]
-    edits = []
     now = stages[-1].text
-    for m in _SPELLED.finditer(now):
-        tokens = list(_TOKEN.finditer(m[0]))
-        if sum(t[0].lower() in _DIGITS for t in tokens) >= 3:
-            new = "".join("+" if t[0].lower() == "plus" else _DIGITS.get(t[0].lower(), t[0] if t[0].isdigit() else "") for t in tokens)
-            edits.append((m.start(), m.end(), new))
-    stages.append(Transducer(now, edits))
+    stages.append(Transducer(now, [e for m in _SPELLED.finditer(now) for e in _digits(m)]))
     edits = []
     now = stages[-1].text
     for address in _ADDRESS.finditer(now):
+        if not address["host"]:
+            continue
         for m in _DISGUISE.finditer(now, address.start(), address.end()):
             new = "@" if re.search(r"(?i)at|@", m[0]) else "."
             if new != m[0]:
                 edits.append((m.start(), m.end(), new))
     stages.append(Transducer(now, edits))
+    # after addresses, which may end in digits
+    now = stages[-1].text
+    stages.append(Transducer(now, [(m.start(), m.end(), ".") for m in _DIGIT_DOT.finditer(now)]))
     return stages
 
 

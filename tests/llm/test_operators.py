@@ -271,6 +271,36 @@ def test_a_piece_of_a_disguised_identifier_does_not_hide_it(spark, text, kind, p
     assert pii.redact(frame).first()["text"] == text.replace(found, f"<{kind}>")
 
 
+@pytest.mark.parametrize(
+    "found, kind",
+    [
+        ("192[.]168[.]1[.]10", "ip"),
+        ("10 (dot) 0 (dot) 0 (dot) 1", "ip"),
+        ("one nine two dot one six eight dot zero dot one", "ip"),
+        ("192 dot 168 dot zero dot one", "ip"),
+        ("1 nine 2 dot one 6 eight dot 0 dot 1", "ip"),
+        ("4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 one", "card"),
+        ("+49 170 five five 0199", "phone"),
+        ("a dot b dot c dot d dot e dot f dot g dot h dot i at j dot k dot l dot m dot n dot o dot p dot q dot com", "email"),
+        ("x" * 80 + " at example dot com", "email"),
+    ],
+)
+def test_disguises_of_dots_and_digits_are_undone_everywhere(spark, found, kind):
+    text = f"see {found}, thanks"
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert (kind, found) in [(s["kind"], text[s["start"] : s["end"]]) for s in pii.find(frame).first()["spans"]]
+    assert f"<{kind}>" in pii.redact(frame).first()["text"]
+
+
+def test_the_gate_of_disguises_never_hides_one():
+    rng = random.Random(6)
+    parts = ["one", "Two", "oh", "4", "17", "plus", "dot", "at", "[.]", "(dot)", "{ DOT }", "@", ".", ",", "-", " ", " ", " (", ") ", "a", "b.c"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(2, 12)))
+        if not pii._disguised(text):
+            assert pii.transducers(text)[-1].text == text, text
+
+
 def test_clean_texts_have_no_identifiers(docs, nothing):
     for text in ("look at the dog dot", "one two", "we met at noon. Two of three left", "a.b@c", "1.2.3", "+1 2"):
         assert pii.spans(text) == ([], [])
