@@ -1,23 +1,22 @@
-"""Near-duplicate embeddings by product quantisation.
-
-Unit vectors go to the inverted list of their nearest coarse centroid; what is left
-after the centroid is coded in subspaces. A query looks at the lists of its nearest
-centroids and reads distances to the codes from a table of its own. A coded vector is a
-candidate while the triangle inequality allows the threshold, given how far its code is
-from it; so within probed lists no link is lost. Candidates are ranked again by exact
-cosine in double precision. Lists are compared in cells of bounded size that report
-counts and a spanning set of links, never the pairs.
-
-There are about twice the root of the vectors' number of lists, `MOST_LISTS` at most.
-Centroids are fitted on a sample of `SAMPLE_ROWS` vectors, or `ROWS_A_LIST` for each list
-where that is more, but of at most `SAMPLE_NUMBERS` components together; all vectors are
-indexed and all are queries.
+"""Near-duplicate embeddings by exact cosine, in blocks that lie near each other.
+
+Unit vectors go to the list of their nearest coarse centroid, and lists that follow each
+other are cut into blocks of bounded size. Two blocks are compared unless the balls around
+them are further apart than the threshold allows, so no link is lost, and a link counts
+for both of its vectors. Pairs are ranked by a matrix product and again by exact cosine
+in double precision. Comparisons report counts and a spanning set of links, never the
+pairs. Where balls overlap, as they do in nearly isotropic vectors, work grows as the
+square of the vectors.
+
+There are about twice the root of the vectors' number of lists, `MOST_LISTS` at most; they
+only say which vectors are put together. Centroids are fitted on a sample of `SAMPLE_ROWS`
+vectors, or `ROWS_A_LIST` for each list where that is more, but of at most
+`SAMPLE_NUMBERS` components together; all vectors are compared.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -30,26 +29,16 @@ SAMPLE_ROWS = 20_000
 ROWS_A_LIST = 8
 SAMPLE_NUMBERS = 1 << 24
 MOST_LISTS = 16_384
-SUBSPACES = 8
-CODES = 64
-PROBES = 8
-CELL_ROWS = 2048
-_ROW = "rep long, copies long, vector binary, size int, code binary, error float, list int, probes array<int>"
-
-
-def _nearest(rows: np.ndarray, centres: np.ndarray, n: int = 1) -> np.ndarray:
-    """Indices of the n nearest centres of each row, nearest first."""
-    distance = (centres**2).sum(1)[None, :] - 2 * rows @ centres.T
-    if n == 1:
-        return distance.argmin(1)[:, None]
-    found = np.argpartition(distance, n - 1, axis=1)[:, :n]
-    return np.take_along_axis(found, np.take_along_axis(distance, found, 1).argsort(1), 1)
+CELL_ROWS = 4096
+BLOCK_NUMBERS = 1 << 21
+_PLACED = "rep long, copies long, vector binary, size int, list int"
+_BLOCK = "block int, mean array<double>, reach double, blob binary"
 
 
 def _all_nearest(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Index of the nearest centre of each row, in blocks of bounded size."""
-    step = _step(len(centres))
-    return np.concatenate([_nearest(rows[i : i + step], centres)[:, 0] for i in range(0, len(rows), step)])
+    step, size = _step(len(centres)), (centres**2).sum(1)
+    return np.concatenate([(size - 2 * rows[i : i + step] @ centres.T).argmin(1) for i in range(0, len(rows), step)])
 
 
 def _step(centres: int) -> int:
@@ -71,40 +60,10 @@ def _centres(rows: np.ndarray, n: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
-@dataclass
-class Index:
-    """Coarse centroids, and code books of the subspaces of residuals."""
-
-    coarse: np.ndarray
-    books: np.ndarray  # subspace, code, dimension within
-
-    @staticmethod
-    def fit(rows: np.ndarray, lists: int) -> Index:
-        coarse = _centres(rows, min(lists, len(rows)))
-        left = rows - coarse[_all_nearest(rows, coarse)]
-        width = -(-rows.shape[1] // SUBSPACES)
-        left = np.pad(left, ((0, 0), (0, width * SUBSPACES - rows.shape[1])))
-        books = [_centres(left[:, i * width : (i + 1) * width], min(CODES, len(rows))) for i in range(SUBSPACES)]
-        return Index(coarse, np.stack(books))
-
-    def split(self, residuals: np.ndarray) -> np.ndarray:
-        width = self.books.shape[2]
-        padded = np.pad(residuals, ((0, 0), (0, width * SUBSPACES - residuals.shape[1])))
-        return padded.reshape(len(residuals), SUBSPACES, width)
-
-    def encode(self, residuals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Codes, and how far each vector is from what its code says."""
-        parts = self.split(residuals)
-        codes = np.stack([_nearest(parts[:, i], self.books[i])[:, 0] for i in range(SUBSPACES)], axis=1).astype(np.uint8)
-        coded = np.stack([self.books[i][codes[:, i]] for i in range(SUBSPACES)], axis=1)
-        return codes, np.sqrt(((parts - coded) ** 2).sum((1, 2)))
-
-    def tables(self, residuals: np.ndarray) -> np.ndarray:
-        """Squared distances from each query to every code: query, subspace, code."""
-        parts = self.split(residuals)
-        return (
-            (parts**2).sum(2)[:, :, None] + (self.books**2).sum(2)[None] - 2 * np.einsum("qsd,scd->qsc", parts, self.books)
-        )
+def _lists(rows: np.ndarray, n: int) -> np.ndarray:
+    """Centres of n lists at most, near ones after each other."""
+    centres = _centres(rows, min(n, len(rows)))
+    return centres[np.argsort(_all_nearest(centres, _centres(centres, int(len(centres) ** 0.5))), kind="stable")]
 
 
 def _unit(rows: list, dimensions: int) -> np.ndarray:
@@ -116,36 +75,49 @@ def _unit(rows: list, dimensions: int) -> np.ndarray:
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
-def _compare(index: Index, dimensions: int, threshold: float):
-    """Counts of linked vectors for the queries of a cell, and links that span what is linked there."""
-    radius = np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
-
-    def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        base, asked = group[group["is_base"]], group[~group["is_base"]]
-        if base.empty or asked.empty:
-            return pd.DataFrame({"a": [], "b": [], "n": []}).astype("int64")
-        raw = [np.frombuffer(v, np.float64) for v in base["vector"]]
-        size, exact = base["size"].to_numpy(), np.stack(raw)
-        codes = np.stack([np.frombuffer(c, np.uint8) for c in base["code"]])
-        error, copies, names = base["error"].to_numpy(), base["copies"].to_numpy(), base["rep"].to_numpy()
-        queries = np.stack([np.frombuffer(v, np.float64) for v in asked["vector"]])
-        asked_size, asked_names = asked["size"].to_numpy(), asked["rep"].to_numpy()
-        centre = index.coarse[key[0]]
-        nodes, slot = np.unique(np.concatenate([names, asked_names]), return_inverse=True)
+def _pack(group: pd.DataFrame) -> pd.DataFrame:
+    """A block as one row: its ball, and its names, copies, sizes and vectors."""
+    vectors = np.frombuffer(b"".join(group["vector"]), np.float64).reshape(len(group), -1)
+    mean = vectors.mean(axis=0)
+    columns = [group[c].to_numpy(np.int64).tobytes() for c in ("rep", "copies", "size")]
+    return pd.DataFrame(
+        {
+            "block": [int(group["block"].iloc[0])],
+            "mean": [mean],
+            "reach": [float(np.sqrt(((vectors - mean) ** 2).sum(1).max())) + 1e-6],
+            "blob": [len(group).to_bytes(8, "little") + b"".join(columns) + vectors.tobytes()],
+        }
+    )
+
+
+def _unpack(blob: bytes) -> tuple[np.ndarray, ...]:
+    n = int.from_bytes(blob[:8], "little")
+    names, copies, sizes = np.frombuffer(blob, np.int64, 3 * n, 8).reshape(3, n)
+    return names, copies, sizes, np.frombuffer(blob, np.float64, -1, 8 + 24 * n).reshape(n, -1)
+
+
+def _compare(threshold: float):
+    """Counts of linked vectors for both blocks of a pair, and links that span what is linked there."""
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        blobs = [_unpack(x) for x in group.sort_values("block")["blob"]]
+        (names, copies, sizes, rows), (others, other_copies, other_sizes, other_rows) = blobs[0], blobs[-1]
+        same = len(blobs) == 1
+        nodes, slot = np.unique(np.concatenate([names, others]), return_inverse=True)
         root = np.arange(len(nodes))
-        counts = np.zeros(len(queries), np.int64)
-        for at in range(0, len(queries), 256):
-            block = queries[at : at + 256]
-            tables = index.tables(block - centre)
-            distance = sum(tables[:, s, codes[:, s]] for s in range(SUBSPACES))
-            q, b = np.nonzero(distance <= (radius + error[None, :]) ** 2)
+        counts = np.zeros(len(nodes), np.int64)
+        for at in range(0, len(rows), 256):
+            a, b = np.nonzero(rows[at : at + 256] @ other_rows.T >= threshold - 1e-6)
+            a += at
             cosine = np.concatenate(
-                [np.einsum("ij,ij->i", block[q[i : i + 65536]], exact[b[i : i + 65536]]) for i in range(0, len(q), 65536)] or [np.zeros(0)]
+                [np.einsum("ij,ij->i", rows[a[i : i + 65536]], other_rows[b[i : i + 65536]]) for i in range(0, len(a), 65536)] or [np.zeros(0)]
             )
-            true = (cosine >= threshold) & (asked_names[at + q] != names[b]) & (asked_size[at + q] == size[b])
-            q, b = q[true], b[true]
-            counts[at : at + 256] += np.bincount(q, copies[b], len(block)).astype(np.int64)
-            x, y = slot[len(names) + at + q], slot[b]
+            true = (cosine >= threshold) & (names[a] != others[b]) & (sizes[a] == other_sizes[b])
+            a, b = a[true], b[true]
+            x, y = slot[a], slot[len(names) + b]
+            np.add.at(counts, x, other_copies[b])
+            if not same:  # a block compared with itself has each pair twice
+                np.add.at(counts, y, copies[a])
             while len(x):
                 low = np.minimum(root[x], root[y])
                 before = root.copy()
@@ -158,7 +130,7 @@ def _compare(index: Index, dimensions: int, threshold: float):
         some = counts > 0
         return pd.DataFrame(
             {
-                "a": np.concatenate([asked_names[some], nodes[linked]]),
+                "a": np.concatenate([nodes[some], nodes[linked]]),
                 "b": np.concatenate([np.full(some.sum(), -1), nodes[root[linked]]]),
                 "n": np.concatenate([counts[some], np.full(len(linked), -1)]),
             }
@@ -180,7 +152,7 @@ def _sample(classes: DataFrame, n: int, rows: int, dimensions: int) -> list:
 
 
 def near_duplicates(
-    table: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", threshold: float = 0.9, probes: int = PROBES
+    table: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", threshold: float = 0.9
 ) -> DataFrame:
     """One row per input row: vec_id, n_links (other vectors linked directly), component_id, kept.
 
@@ -205,60 +177,44 @@ def near_duplicates(
     if not n:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
     lists = max(1, min(MOST_LISTS, int(2 * n**0.5)))
-    index = Index.fit(_unit(_sample(classes, n, max(SAMPLE_ROWS, lists * ROWS_A_LIST), dimensions), dimensions), lists)
-    reach = min(probes, len(index.coarse))
-    step = _step(len(index.coarse))
+    coarse = _lists(_unit(_sample(classes, n, max(SAMPLE_ROWS, lists * ROWS_A_LIST), dimensions), dimensions), lists)
+    step = _step(len(coarse))
 
     def assign(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for at in range(0, len(part), step):
                 some = part.iloc[at : at + step]
                 unit = _unit(list(some["v"]), dimensions)
-                near = _nearest(unit, index.coarse, reach)
-                codes, error = index.encode(unit - index.coarse[near[:, 0]])
                 yield pd.DataFrame(
                     {
                         "rep": some["rep"].to_numpy(),
                         "copies": some["copies"].to_numpy(),
                         "vector": [u.tobytes() for u in unit],
                         "size": [len(x) for x in some["v"]],
-                        "code": [c.tobytes() for c in codes],
-                        "error": error.astype(np.float32) + np.float32(1e-6),
-                        "list": near[:, 0].astype(np.int32),
-                        "probes": list(near.astype(np.int32)),
+                        "list": _all_nearest(unit, coarse).astype(np.int32),
                     }
                 )
 
-    placed = stored(classes.select("rep", "copies", "v").mapInPandas(assign, _ROW))
+    placed = stored(classes.select("rep", "copies", "v").mapInPandas(assign, _PLACED))
     # one row per list, MOST_LISTS at most
-    based = placed.groupBy("list").agg(F.count("*").alias("n_base"))
-    asking = placed.select(F.explode("probes").alias("list")).groupBy("list").agg(F.count("*").alias("n_asked"))
-    parts = F.broadcast(
-        stored(
-            based.join(asking, "list").select(
-                "list", F.ceil(F.col("n_base") / CELL_ROWS).cast("int").alias("bases"), F.ceil(F.col("n_asked") / CELL_ROWS).cast("int").alias("asks")
-            )
-        )
-    )
-    common = ["list", "base_part", "ask_part", "is_base", "rep", "copies", "vector", "size", "code", "error"]
-    salt = F.xxhash64("rep")
-    bases = (
-        placed.join(parts, "list")
-        .withColumn("base_part", F.pmod(salt, "bases").cast("int"))
-        .withColumn("ask_part", F.explode(F.sequence(F.lit(0), F.col("asks") - 1)))
-        .withColumn("is_base", F.lit(True))
-    )
-    asked = (
-        placed.drop("list")
-        .withColumn("list", F.explode("probes"))
-        .join(parts, "list")
-        .withColumn("ask_part", F.pmod(salt, "asks").cast("int"))
-        .withColumn("base_part", F.explode(F.sequence(F.lit(0), F.col("bases") - 1)))
-        .withColumn("is_base", F.lit(False))
-        .withColumn("code", F.lit(None).cast("binary"))
-    )
-    cells = bases.select(common).union(asked.select(common)).groupBy("list", "base_part", "ask_part")
-    found = stored(cells.applyInPandas(_compare(index, dimensions, threshold), "a long, b long, n long"))
+    lengths = sorted(placed.groupBy("list").count().collect())
+    starts = np.cumsum([0, *(r[1] for r in lengths)]).tolist()
+    starts = spark.createDataFrame([(r[0], r[1], s) for r, s in zip(lengths, starts)], "list int, length long, start long")
+    block_rows = min(CELL_ROWS, max(64, BLOCK_NUMBERS // dimensions))
+    # a place within the list by hash, so that blocks have about block_rows whatever the lists
+    place = F.col("start") + F.pmod(F.xxhash64("rep"), "length")
+    cut = placed.join(F.broadcast(starts), "list").withColumn("block", F.floor(place / block_rows).cast("int"))
+    blocks = stored(cut.select("rep", "copies", "vector", "size", "block").groupBy("block").applyInPandas(_pack, _BLOCK))
+    radius = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
+    ball = [F.col(c) for c in ("block", "mean", "reach")]
+    first = blocks.select(*[c.alias(f"first_{x}") for c, x in zip(ball, ("block", "mean", "reach"))])
+    second = blocks.select(*[c.alias(f"second_{x}") for c, x in zip(ball, ("block", "mean", "reach"))])
+    apart = F.sqrt(F.aggregate(F.zip_with("first_mean", "second_mean", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda x, y: x + y))
+    near = first.join(
+        second, (F.col("first_block") <= F.col("second_block")) & (apart <= F.col("first_reach") + F.col("second_reach") + radius)
+    ).select("first_block", "second_block", F.explode(F.array_distinct(F.array("first_block", "second_block"))).alias("block"))
+    cells = near.join(blocks.select("block", "blob"), "block").groupBy("first_block", "second_block")
+    found = stored(cells.applyInPandas(_compare(threshold), "a long, b long, n long"))
     counted = found.where("n >= 0").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     roots = components(found.where("n < 0").select("a", "b"))
     joined = (

@@ -217,6 +217,22 @@ def test_vectors_equal_brute_force(spark, monkeypatch):
     assert all(got[i] == (0, i, True) for i in range(1000, 1006)) and got[None] == (0, None, False)
 
 
+def test_every_link_of_many_vectors_counts_on_both_sides(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = rng.normal(size=(3000, 64))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    side = rng.normal(size=(1000, 64))
+    side -= (side * rows[:1000]).sum(1, keepdims=True) * rows[:1000]
+    rows[2000:] = 0.905 * rows[:1000] + (1 - 0.905**2) ** 0.5 * side / np.linalg.norm(side, axis=1, keepdims=True)
+    monkeypatch.setattr(vectors, "CELL_ROWS", 500)
+    frame = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_duplicates(frame).collect()}
+    expected = ((rows @ rows.T) >= 0.9).sum(1) - 1
+    assert expected.sum() == 2000
+    assert [got[i][0] for i in range(3000)] == expected.tolist()
+    assert all(got[i + 2000][1] == i for i in range(1000))
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 
