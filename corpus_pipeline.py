@@ -26,9 +26,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Documents without an id stay, as no id tells which of them names a group.
     """
-    groups = simhash.near_duplicates(docs)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.select(COLUMNS).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    first = stored(simhash.first_of_groups(docs))
+    named = docs.select(COLUMNS).join(first.select("doc_id").distinct(), "doc_id", "left_semi")
+    key = ["doc_id", "fingerprint"]
+    named = simhash.with_fingerprint(named).join(first, key, "left_semi").dropDuplicates(key)
     return named.select(COLUMNS).union(docs.select(COLUMNS).where("doc_id IS NULL"))
 
 

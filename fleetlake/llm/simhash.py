@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import components, ship, stored
 
@@ -124,6 +125,15 @@ def links(distinct: DataFrame, distance: int = 2) -> DataFrame:
     return pairs.select("a", "b").union(spanned)
 
 
+def _grouped(marked: DataFrame, distance: int) -> DataFrame:
+    """(fingerprint, root, component_id): the group of each fingerprint, and the least id in the group."""
+    classes = stored(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
+    roots = components(links(classes.select("fingerprint"), distance))
+    rooted = stored(classes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint")))
+    least = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
+    return stored(rooted.join(least, "root").select("fingerprint", "root", "component_id"))
+
+
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", distance: int = 2
 ) -> DataFrame:
@@ -135,11 +145,30 @@ def near_duplicates(
     stay. Only ids and texts are read; an empty table gives no rows.
     """
     marked = stored(fingerprints(docs, id_column, text_column))
-    classes = stored(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
-    roots = components(links(classes.select("fingerprint"), distance))
-    rooted = stored(classes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint")))
-    least = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
-    named = stored(rooted.join(least, "root").select("fingerprint", "component_id"))
+    named = _grouped(marked, distance).select("fingerprint", "component_id")
     return marked.join(named, "fingerprint").select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def first_of_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", distance: int = 2) -> DataFrame:
+    """(doc_id, fingerprint): the row that names its group, once for each group with an id; fingerprints are longs.
+
+    Groups are told apart by their links, not by ids: different documents may share an id.
+    """
+    marked = stored(fingerprints(docs, id_column, text_column))
+    named = marked.join(_grouped(marked, distance), "fingerprint").where("doc_id = component_id")
+    return named.groupBy("root").agg(F.min("doc_id").alias("doc_id"), F.min("fingerprint").alias("fingerprint")).drop("root")
+
+
+def with_fingerprint(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """All rows and columns, and the fingerprint of each row's text as a signed long; a null text is empty."""
+    ship(docs.sparkSession)
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            texts = batch.column(batch.schema.get_field_index(text_column)).fill_null("").cast(pa.large_binary())
+            bits = np.array([fingerprint(t.as_buffer().to_pybytes()) for t in texts], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits)], [*batch.schema.names, "fingerprint"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema, StructField("fingerprint", LongType())]))

@@ -36,6 +36,16 @@ def test_stages_on_a_small_corpus(spark):
         assert [s for s, _ in mine] == [sum(n for _, n in mine[:i]) for i in range(len(mine))]
 
 
+def test_documents_that_share_an_id_stay_one_for_each_group(spark):
+    first, copy, other = (" ".join(f"{name}{i * i}" for i in range(60)) for name in "abc")
+    rows = [(1, copy), (2, copy), (2, first), (2, first), (3, other), (3, copy), (4, None), (4, "single")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], schema)
+    left = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    expected = [(1, copy), (2, first), (3, other), (4, ""), (4, "single")]
+    assert sorted((r["doc_id"], r["text"] or "") for r in left) == expected
+
+
 def test_run_equals_the_stages_over_a_table(spark):
     directory = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{directory}/documents.parquet")
