@@ -31,7 +31,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         "--months",
         nargs=2,
         metavar=("FROM", "TO"),
-        help="file months that raw and trusted take, YYYY-MM; by default all",
+        help="file months that have changed, YYYY-MM; by default all",
     )
     parser.add_argument(
         "--steps", nargs="+", choices=STEPS, default=list(STEPS[:-1]), help="what to run"
@@ -43,20 +43,29 @@ def run(options: argparse.Namespace, spark) -> None:
     limits = Limits(options.first.isoformat(), _after(options.last).isoformat())
     lake = Lake(options.landing, options.prefix, options.location)
     pipeline = Pipeline(spark, lake, limits)
+    months = options.months and tuple(options.months)
     per_fleet = {"raw": pipeline.load_raw, "trusted": pipeline.load_trusted}
+    events = None
+
+    def refined() -> None:
+        # found before the fact changes; the steps after it follow them
+        nonlocal events
+        events = pipeline.touched_events(months) if months and pipeline.loaded() else None
+        pipeline.load_fact(months, events)
+
     whole = {
         "setup": pipeline.setup,
         "coverage": lambda: pipeline.require_landed(options.first, options.last),
-        "refined": pipeline.load_fact,
-        "marts": pipeline.load_marts,
-        "optimize": pipeline.optimize,
+        "refined": refined,
+        "marts": lambda: pipeline.load_marts(events),
+        "optimize": lambda: pipeline.optimize(events),
     }
     for step in (s for s in STEPS if s in options.steps):
         if step in whole:
             whole[step]()
         else:
             for fleet in FLEETS:
-                per_fleet[step](fleet, options.months and tuple(options.months))
+                per_fleet[step](fleet, months)
 
 
 if __name__ == "__main__":

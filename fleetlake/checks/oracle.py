@@ -282,6 +282,19 @@ def _replaced() -> str:
 FROM yellow WHERE NOT ({month}) OR vendor_id = 1 GROUP BY ref_year, ref_month"""
 
 
+_PROFILE = """SELECT COUNT(*) AS total_corridas,
+  COUNT(*) - COUNT(vendor_id) AS vendorid_nulos,
+  COUNT(DISTINCT vendor_id) AS vendorid_distintos,
+  COUNT(*) - COUNT(passenger_count) AS passenger_count_nulos,
+  MIN(passenger_count) AS passenger_count_min, MAX(passenger_count) AS passenger_count_max,
+  COUNT(*) - COUNT(total_amount) AS total_amount_nulos,
+  ROUND(MIN(total_amount), 2) AS total_amount_min,
+  ROUND(MAX(total_amount), 2) AS total_amount_max,
+  ROUND(AVG(total_amount), 2) AS total_amount_medio,
+  MIN(pickup_datetime) AS pickup_mais_antigo, MAX(pickup_datetime) AS pickup_mais_recente
+FROM yellow"""
+
+
 _BODIES: dict[str, str] = {
     "landing_inventory": (
         f"SELECT *, TRUE AS has_files, TRUE AS has_bytes FROM ({_FILE_MONTHS})"
@@ -323,6 +336,22 @@ FROM ({_report()})""",
         f"SELECT '{name}' AS col_name, '{kind}' AS data_type, COUNT({name}) AS preenchidos FROM fact"
         for name, kind in _FACT_TYPES.items()
     ),
+    "clustered_fact_interleaved": f"SELECT {_CANONICAL} FROM fact",
+    "streamed_fact": f"SELECT {_CANONICAL} FROM fact",
+    "partition_statistics": f"""SELECT pickup_year, pickup_month, COUNT(*) AS linhas FROM fact
+WHERE pickup_year = '{YEAR}' AND pickup_month = '{MONTH}' GROUP BY ALL""",
+    "layer_report_after_month": _report(),
+    "layer_monthly_after_month": _MONTHLY,
+    "ticket_quantiles_by_year": """SELECT trip_type, pickup_year,
+  quantile_disc(total_amount, 0.25) AS p25, quantile_disc(total_amount, 0.5) AS mediana,
+  quantile_disc(total_amount, 0.75) AS p75 FROM fact GROUP BY trip_type, pickup_year""",
+    "eda_histograms": " UNION ALL ".join(
+        f"""SELECT trip_type, '{name}' AS histogram, {label} AS faixa, COUNT(*) AS corridas,
+  {_share("COUNT(*)", "SUM(COUNT(*)) OVER (PARTITION BY trip_type)")} AS pct,
+  ROUND(SUM(total_amount), 2) AS soma FROM trips GROUP BY trip_type, faixa"""
+        for name, label in (("duration", _DURATION), ("passengers", _PASSENGERS), ("amount", _AMOUNTS))
+    ),
+    "eda_profile_states": _PROFILE,
     "partition_slice": _slice(),
     "partition_replace": _replaced(),
     "table_overwrite": _BY_REASON,
@@ -363,17 +392,7 @@ FROM both_fleets GROUP BY ALL""",
   ref_month AS path_month, TRUE AS has_file, COUNT(*) AS linhas FROM both_fleets GROUP BY ALL""",
     "eda_volume_by_ref_month": """SELECT trip_type, ref_year, ref_month,
   COUNT(*) AS corridas FROM both_fleets GROUP BY ALL""",
-    "eda_profile": """SELECT COUNT(*) AS total_corridas,
-  COUNT(*) - COUNT(vendor_id) AS vendorid_nulos,
-  COUNT(DISTINCT vendor_id) AS vendorid_distintos,
-  COUNT(*) - COUNT(passenger_count) AS passenger_count_nulos,
-  MIN(passenger_count) AS passenger_count_min, MAX(passenger_count) AS passenger_count_max,
-  COUNT(*) - COUNT(total_amount) AS total_amount_nulos,
-  ROUND(MIN(total_amount), 2) AS total_amount_min,
-  ROUND(MAX(total_amount), 2) AS total_amount_max,
-  ROUND(AVG(total_amount), 2) AS total_amount_medio,
-  MIN(pickup_datetime) AS pickup_mais_antigo, MAX(pickup_datetime) AS pickup_mais_recente
-FROM yellow""",
+    "eda_profile": _PROFILE,
     "eda_event_month": """SELECT strftime(pickup_datetime, '%Y-%m') AS mes_do_pickup,
   COUNT(*) AS corridas FROM yellow GROUP BY 1""",
     "eda_month_mismatch": """SELECT ref_year || '-' || ref_month AS mes_do_arquivo,

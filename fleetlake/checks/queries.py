@@ -21,7 +21,7 @@ from fleetlake.model import (
     SOURCE_FILE,
     YELLOW,
 )
-from fleetlake.operators import quality, shaping
+from fleetlake.operators import marts, quality, shaping
 from fleetlake.plans import answers, exploration
 from fleetlake.plans.pipeline import CLUSTER_BY
 from fleetlake.sinks import tables
@@ -288,6 +288,47 @@ def clustered_fact(s: Sample) -> DataFrame:
     return s.spark.table(table).drop(SOURCE_FILE)
 
 
+@_query
+def clustered_fact_interleaved(s: Sample) -> DataFrame:
+    """The fact after clustering by time and amount alike: same rows."""
+    table = s.scratch_table("interleaved")
+    tables.replace_partitions(s.fact, table, EVENT_MONTH, rebalance=True)
+    tables.cluster_table(
+        s.spark, table, EVENT_MONTH, ("pickup_datetime", "total_amount"), interleave=True
+    )
+    return s.spark.table(table).drop(SOURCE_FILE)
+
+
+@_query
+def partition_statistics(s: Sample) -> DataFrame:
+    """Rows of one month of the fact as the catalog knows them after only it was analysed."""
+    assert s.fact_tables
+    tables.analyze_partitions(s.spark, s.lake.fact, EVENT_MONTH, [(YEAR, MONTH)])
+    known = tables.partition_rows(s.spark, s.lake.fact, EVENT_MONTH)
+    rows = [(YEAR, MONTH, known[YEAR, MONTH])]
+    return s.spark.createDataFrame(rows, "pickup_year string, pickup_month string, linhas long")
+
+
+@_query
+def layer_report_after_month(s: Sample) -> DataFrame:
+    """The report after one file month was loaded once more."""
+    assert s.reloaded_month
+    return s.spark.table(s.lake.report).drop("measured_at")
+
+
+@_query
+def layer_monthly_after_month(s: Sample) -> DataFrame:
+    """The monthly mart after one file month was loaded once more."""
+    assert s.reloaded_month
+    return _rounded_monthly(s.spark.table(s.lake.monthly))
+
+
+@_query
+def streamed_fact(s: Sample) -> DataFrame:
+    """The fact of a lake that takes the landed files as a stream."""
+    return s.streamed.drop(SOURCE_FILE)
+
+
 # --- projections -----------------------------------------------------------------
 
 
@@ -414,6 +455,15 @@ def agg_hourly(s: Sample) -> DataFrame:
     return _rounded_hourly(s.hourly)
 
 
+@_query
+def ticket_quantiles_by_year(s: Sample) -> DataFrame:
+    """Quantiles of a year's tickets, merged from the stored states of its months."""
+    assert s.mart_tables
+    shares = {"p25": 0.25, "mediana": 0.5, "p75": 0.75}
+    states = s.spark.table(s.lake.monthly_states)
+    return marts.quantiles_of_states(states, shares, ("trip_type", "pickup_year"))
+
+
 # --- exploration -----------------------------------------------------------------
 
 
@@ -462,6 +512,19 @@ def eda_amount_hist(s: Sample) -> DataFrame:
     return exploration.amount_histogram(s.trusted(YELLOW))
 
 
+@_query
+def eda_histograms(s: Sample) -> DataFrame:
+    """All three histograms of each fleet, from one scan of it."""
+    return exploration.histograms(s.fleets)
+
+
+@_query
+def eda_profile_states(s: Sample) -> DataFrame:
+    """The profile from states stored per file month."""
+    assert s.trusted_tables
+    return s.pipeline.load_profile(YELLOW)
+
+
 @_query
 def eda_quantiles(s: Sample) -> DataFrame:
     return exploration.amount_quantiles(s.trusted(YELLOW))

@@ -14,6 +14,7 @@ from fleetlake.operators import marts, quality
 from fleetlake.operators.trips import all_fleets
 from fleetlake.plans.pipeline import Pipeline
 from fleetlake.sources import sample_trips
+from fleetlake.streaming.landing import follow
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -26,7 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local["):
             raise ValueError(f"set {_SETTING} to a folder shared by the cluster")
         folder = tempfile.mkdtemp(prefix="fleetlake-")
         context.setCheckpointDir(folder)
@@ -130,6 +131,21 @@ class Sample:
         assert self.fact_tables
         return self.pipeline.load_marts()
 
+    @cached_property
+    def reloaded_month(self) -> str:
+        """One file month, taken through all layers again after a whole run."""
+        assert self.mart_tables
+        month = "-".join(sample_trips.FOCUS)
+        self.pipeline.run(months=(month, month))
+        return month
+
+    @cached_property
+    def streamed(self) -> DataFrame:
+        """The fact of a second lake, loaded by the stream of landed files."""
+        lake = Lake(self.landed, prefix=f"{self.name}_streamed_", location=f"{self.folder}/streamed")
+        follow(Pipeline(self.spark, lake, sample_trips.LIMITS), f"{self.folder}/stream_checkpoint")
+        return self.spark.table(lake.fact)
+
     def scratch_table(self, name: str) -> str:
         """A table of this lake that no other query uses."""
         assert self.pipeline

@@ -114,6 +114,13 @@ class Lake:
     def monthly(self) -> str:
         return f"{self.database('refined')}.agg_trip_monthly"
 
+    @property
+    def monthly_states(self) -> str:
+        return f"{self.database('refined')}.agg_trip_monthly_state"
+
+    def profile_states(self, fleet: Fleet) -> str:
+        return f"{self.database('quality')}.profile_state_{fleet.name}"
+
     @property
     def hourly(self) -> str:
         return f"{self.database('refined')}.agg_trip_hourly"

@@ -7,11 +7,11 @@ a duration without an end) the rule stays silent and the null rule speaks.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.model import REASONS, Limits
@@ -189,6 +189,42 @@ def rule_report_from_quarantine(
     return _finish_report(rows.withColumn("rows_failed", counted))
 
 
+def count_names(rules: Sequence[Rule]) -> list[str]:
+    return ["rows_evaluated", *(f"failed_{i}" for i in range(len(rules)))]
+
+
+def rule_counts(rules: Sequence[Rule], counted: Column | None = None) -> list[Column]:
+    """Aggregates over rows with their reasons: rows, and failures of each rule.
+
+    Blocking rules are counted from the reasons, NULL for none, which are not computed
+    again. ``counted`` limits the rows that count.
+    """
+    failed = [
+        F.array_contains(REASONS, rule.name) if rule.blocking else rule.fails() for rule in rules
+    ]
+    every = F.lit(True) if counted is None else counted
+    tests = [every, *(every & f for f in failed)]
+    return [F.count_if(test).alias(name) for test, name in zip(tests, count_names(rules))]
+
+
+def report_of_counts(
+    spark: SparkSession, counts: Mapping[str, int], rules: Sequence[Rule]
+) -> DataFrame:
+    """The report from counts already taken, one number per rule."""
+    names = count_names(rules)
+    schema = ", ".join(f"{name} bigint" for name in names)
+    one_row = spark.createDataFrame([tuple(counts[name] for name in names)], schema)
+    return _finish_report(_report_rows(one_row, rules))
+
+
+def counts_of_report(report: DataFrame, rules: Sequence[Rule]) -> dict[str, int]:
+    """The counts a report was made of."""
+    rows = {row.rule_name: row for row in report.collect()}
+    evaluated = max((row.rows_evaluated for row in rows.values()), default=0)
+    failed = {f"failed_{i}": rows[rule.name].rows_failed for i, rule in enumerate(rules)}
+    return {"rows_evaluated": evaluated, **failed}
+
+
 def rejections_by_reason(quarantine: DataFrame) -> DataFrame:
     """Rows per reason; a row with several reasons counts once for each."""
     return (

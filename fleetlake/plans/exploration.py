@@ -19,6 +19,10 @@ from fleetlake.operators.quantiles import exact_quantiles, value_counts
 from fleetlake.sources.landing import ref_month_of
 
 
+#: Registers of a distinct-count state, as a power of two: 4,096.
+DISTINCT_BITS = 12
+
+
 def _stack(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -72,6 +76,53 @@ def column_profile(trusted: DataFrame, fleet: Fleet) -> DataFrame:
     )
 
 
+def profile_states(trusted: DataFrame, fleet: Fleet) -> DataFrame:
+    """The profile's measures per file month, as states that merge: one scan, one shuffle.
+
+    Distinct vendors are a HyperLogLog state, which counts small sets exactly; beyond, its
+    standard error is 0.8 / sqrt(2 ** DISTINCT_BITS).
+    """
+    amount, riders = F.col("total_amount"), F.col("passenger_count")
+    return trusted.groupBy(*FILE_MONTH).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("VendorID").alias("vendors"),
+        F.hll_sketch_agg("VendorID", DISTINCT_BITS).alias("vendor_state"),
+        F.count(riders).alias("riders"),
+        F.min(riders).alias("riders_min"),
+        F.max(riders).alias("riders_max"),
+        F.count(amount).alias("amounts"),
+        F.min(amount).alias("amount_min"),
+        F.max(amount).alias("amount_max"),
+        F.sum(amount).alias("amount_sum"),
+        F.min(fleet.pickup).alias("pickup_min"),
+        F.max(fleet.pickup).alias("pickup_max"),
+    )
+
+
+def profile_of_states(states: DataFrame) -> DataFrame:
+    """``column_profile`` of all file months from their states."""
+    rows = F.coalesce(F.sum("rows"), F.lit(0))
+    vendors = F.hll_sketch_estimate(F.hll_union_agg("vendor_state"))
+
+    def missing(name: str) -> Column:
+        return rows - F.coalesce(F.sum(name), F.lit(0))
+
+    return states.agg(
+        rows.alias("total_corridas"),
+        missing("vendors").alias("vendorid_nulos"),
+        F.coalesce(vendors, F.lit(0)).alias("vendorid_distintos"),
+        missing("riders").alias("passenger_count_nulos"),
+        F.min("riders_min").alias("passenger_count_min"),
+        F.max("riders_max").alias("passenger_count_max"),
+        missing("amounts").alias("total_amount_nulos"),
+        F.round(F.min("amount_min"), 2).alias("total_amount_min"),
+        F.round(F.max("amount_max"), 2).alias("total_amount_max"),
+        F.round(F.try_divide(F.sum("amount_sum"), F.sum("amounts")), 2).alias("total_amount_medio"),
+        F.min("pickup_min").alias("pickup_mais_antigo"),
+        F.max("pickup_max").alias("pickup_mais_recente"),
+    )
+
+
 def rows_by_event_month(trusted: DataFrame, fleet: Fleet) -> DataFrame:
     return (
         trusted.groupBy(F.trunc(fleet.pickup, "month").alias("first_day"))
@@ -140,6 +191,41 @@ def amount_histogram(trusted: DataFrame) -> DataFrame:
     )
 
 
+def histograms(frames: Mapping[Fleet, DataFrame]) -> DataFrame:
+    """The three histograms of each fleet from one scan of it.
+
+    Rows are counted by the three ordinals together, 594 groups of a fleet at most;
+    grouping sets then add these few up by each ordinal, and no trip is repeated.
+    """
+    scales = {"duration": buckets.DURATION, "passengers": buckets.PASSENGERS, "amount": buckets.AMOUNT}
+    counted = []
+    for fleet, frame in frames.items():
+        values = {
+            "duration": minutes_between(F.col(fleet.pickup), F.col(fleet.dropoff)),
+            "passengers": F.col("passenger_count"),
+            "amount": F.col("total_amount"),
+        }
+        ordinals = [scales[name].ordinal(value).alias(name) for name, value in values.items()]
+        rows = frame.groupBy(*ordinals).agg(F.count(F.lit(1)).alias("n"), F.sum("total_amount").alias("amounts"))
+        counted.append(rows.select(F.lit(fleet.name).alias("trip_type"), "*"))
+    sets = [["trip_type", F.col(name)] for name in scales]
+    summed = (
+        _stack(counted)
+        .groupingSets(sets, "trip_type", *scales)
+        .agg(F.sum("n").alias("corridas"), F.round(F.sum("amounts"), 2).alias("soma"))
+    )
+    each = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name, scale in scales.items():
+        there = F.col(name).isNotNull()
+        each = F.when(there, name).otherwise(each[0]), F.when(there, scale.label(F.col(name))).otherwise(each[1])
+    share = F.col("corridas") * F.lit(100.0) / F.sum("corridas").over(Window.partitionBy("trip_type", "histogram"))
+    return (
+        summed.select("trip_type", each[0].alias("histogram"), each[1].alias("faixa"), "corridas", "soma")
+        .withColumn("pct", F.round(share, 4))
+        .orderBy("trip_type", "histogram", "faixa")
+    )
+
+
 def amount_quantiles(trusted: DataFrame) -> DataFrame:
     """Quantiles beside the mean: how far the tail pulls it.
 

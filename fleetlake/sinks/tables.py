@@ -1,15 +1,19 @@
 """Idempotent writes and maintenance for partitioned parquet tables.
 
-The catalog's own overwrite of a parquet table either ignores the dynamic mode
-or needs a session setting, and without it wipes every other partition. Here the
-mode is an option of the one write, the write goes to the table's directory, and
-the partitions that were there before are checked afterwards.
+Rows are written to a directory of their own, which no table knows yet. When it is
+complete, each partition it holds is pointed at it by one statement to the catalog. So
+a reader sees a partition as it was or as it is, a killed write changes nothing, and
+neither a repair nor a scan is needed to find what was written. What a partition
+pointed at before stays for readers that have begun, until ``vacuum``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import re
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 from math import ceil
+from urllib.parse import unquote
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
@@ -20,6 +24,13 @@ from pyspark.sql.types import StructField, StructType
 from fleetlake.model import LAYERS, Lake
 from fleetlake.operators.shaping import column
 
+#: Hidden from readers of the directory; only the catalog points into it.
+VERSIONS = "_versions"
+#: Quantiles of a column that interleaved clustering tells apart, as a power of two.
+INTERLEAVED_BITS = 8
+# Fixed value: how a directory names a missing partition value.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _text(value: str) -> str:
     """A SQL string literal."""
@@ -53,6 +64,16 @@ def table_detail(spark: SparkSession, table: str, name: str) -> str | None:
     return found[-1]["data_type"] if found else None
 
 
+def set_properties(spark: SparkSession, table: str, properties: Mapping[str, str]) -> None:
+    listed = ", ".join(f"{_text(name)} = {_text(value)}" for name, value in properties.items())
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
+
+
+def property_of(spark: SparkSession, table: str, name: str) -> str | None:
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == name).first()
+    return found and found["value"]
+
+
 def table_location(spark: SparkSession, table: str) -> str:
     return table_detail(spark, table, "Location")
 
@@ -96,13 +117,12 @@ def _columns(fields: Iterable[StructField]) -> str:
 
 def _evolve(spark: SparkSession, table: str, incoming: StructType) -> None:
     """Add the columns the table lacks; a changed type is refused."""
-    known = {f.name.lower(): f for f in spark.table(table).schema}
+    known = {f.name.lower(): f.dataType.simpleString() for f in spark.table(table).schema}
     added = [f for f in incoming if f.name.lower() not in known]
     changed = [
-        f"{f.name}: {known[f.name.lower()].dataType.simpleString()} -> "
-        f"{f.dataType.simpleString()}"
+        f"{f.name}: {known[f.name.lower()]} -> {f.dataType.simpleString()}"
         for f in incoming
-        if f.name.lower() in known and known[f.name.lower()].dataType != f.dataType
+        if known.get(f.name.lower(), f.dataType.simpleString()) != f.dataType.simpleString()
     ]
     if changed:
         raise ValueError(f"{table} would change column types: {changed}")
@@ -117,12 +137,82 @@ def _create(
     spark.sql(f"CREATE TABLE {table} ({_columns(schema)}) USING parquet{by}")
 
 
-def _overwrite_present(frame: DataFrame, location: str, keys: Sequence[str]) -> None:
-    """Write the partitions (or the unpartitioned rows) the frame carries."""
-    writer = frame.write.mode("overwrite")
-    if keys:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*keys)
-    writer.parquet(location)
+def write_version(frame: DataFrame, directory: str, keys: Sequence[str]) -> str:
+    """Write rows by ``keys`` below a fresh directory in ``directory``, and return it."""
+    fresh = f"{directory}/{uuid4().hex}"
+    frame.write.partitionBy(*keys).parquet(fresh)
+    return fresh
+
+
+def written(spark: SparkSession, version: str) -> dict[tuple[str, ...], str]:
+    """Partition directories of a version by their values, as directories spell them.
+
+    Files are listed, not read; there is one directory per month.
+    """
+    leaf = F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("leaf")
+    leaves = [row.leaf for row in _parquet_files(spark, version).select(leaf).distinct().collect()]
+    mark = version.rsplit("/", 1)[1]
+    return {
+        tuple(part.split("=", 1)[1] for part in leaf.split(f"/{mark}/", 1)[1].split("/")): leaf
+        for leaf in leaves
+    }
+
+
+def _specification(keys: Sequence[str], values: Sequence[str]) -> str:
+    """Partition clause of directory values."""
+    parts = (
+        f"{_quoted(k)} = {'null' if v == _NO_VALUE else _text(unquote(v))}"
+        for k, v in zip(keys, values)
+    )
+    return f"PARTITION ({', '.join(parts)})"
+
+
+def switch_partitions(
+    spark: SparkSession, table: str, keys: Sequence[str], found: Mapping[tuple[str, ...], str]
+) -> None:
+    """Point partitions at directories: known ones one by one, new ones in one statement."""
+    known = partition_values(spark, table)
+    for values in sorted(known.intersection(found)):
+        spark.sql(
+            f"ALTER TABLE {table} {_specification(keys, values)} SET LOCATION {_text(found[values])}"
+        )
+    new = [
+        f"{_specification(keys, values)} LOCATION {_text(found[values])}"
+        for values in sorted(found.keys() - known)
+    ]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD {' '.join(new)}")
+    spark.catalog.refreshTable(table)
+
+
+def partition_values(spark: SparkSession, table: str) -> set[tuple[str, ...]]:
+    """Values of each partition, as directories spell them."""
+    return {tuple(part.split("=", 1)[1] for part in name.split("/")) for name in partitions(spark, table)}
+
+
+def versions_of(spark: SparkSession, table: str) -> str:
+    """Directory of what ``replace_partitions`` writes for a table."""
+    return f"{table_location(spark, table)}/{VERSIONS}"
+
+
+def drop_partitions(
+    spark: SparkSession, table: str, keys: Sequence[str], gone: Iterable[tuple[str, ...]]
+) -> None:
+    for values in sorted(gone):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_specification(keys, values)}")
+    spark.catalog.refreshTable(table)
+
+
+def ensure_table(
+    spark: SparkSession, table: str, schema: StructType, keys: Sequence[str] = ()
+) -> bool:
+    """Create the table, or add the columns it lacks; whether it was there."""
+    there = table_exists(spark, table)
+    if there:
+        _evolve(spark, table, schema)
+    else:
+        _create(spark, table, schema, keys)
+    return there
 
 
 def replace_partitions(
@@ -137,7 +227,8 @@ def replace_partitions(
     """Write ``frame``, replacing the partitions it carries and no others.
 
     The first call creates the table. Later calls may add columns. An empty
-    frame creates an empty table, but is an error once the table exists.
+    frame creates an empty table, but is an error once the table exists. ``frame``
+    may read the table.
 
     ``rebalance`` gathers rows by partition first. It is for input that is not
     already laid out by ``keys``: without it each task would leave a small file
@@ -147,31 +238,86 @@ def replace_partitions(
     min/max of its row groups.
     """
     spark = frame.sparkSession
-    if not table_exists(spark, table):
-        _create(spark, table, frame.schema, keys)
-    elif frame.isEmpty():
-        raise ValueError(f"the frame is empty, nothing to write to {table}")
-    else:
-        _evolve(spark, table, frame.schema)
-    before = partitions(spark, table)
+    there = ensure_table(spark, table, frame.schema, keys)
     laid_out = frame.hint("rebalance", *keys) if rebalance else frame
     if sort_by:
         laid_out = laid_out.sortWithinPartitions(*keys, *sort_by)
-    _overwrite_present(laid_out, table_location(spark, table), keys)
-    spark.sql(f"MSCK REPAIR TABLE {table}")
-    spark.catalog.refreshTable(table)
-    lost = before - partitions(spark, table)
-    if lost:
-        raise RuntimeError(f"{table} lost partitions it should have kept: {sorted(lost)}")
+    version = write_version(laid_out, versions_of(spark, table), keys)
+    found = written(spark, version)
+    if there and not found:
+        raise ValueError(f"the frame is empty, nothing to write to {table}")
+    switch_partitions(spark, table, keys, found)
     comment_table(spark, table, comment)
 
 
-def _write_aside(frame: DataFrame, table: str, keys: Sequence[str] = ()) -> str:
+def replace_all(
+    frame: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    comment: str | None = None,
+    scope: Iterable[tuple[str, ...]] | None = None,
+) -> None:
+    """Write ``frame`` and drop the partitions of ``scope`` that it does not carry.
+
+    ``scope`` is by default the whole table. An empty frame empties it.
+    """
+    spark = frame.sparkSession
+    ensure_table(spark, table, frame.schema, keys)
+    found = written(spark, write_version(frame, versions_of(spark, table), keys))
+    switch_partitions(spark, table, keys, found)
+    there = partition_values(spark, table)
+    gone = (there if scope is None else there.intersection(scope)) - found.keys()
+    drop_partitions(spark, table, keys, gone)
+    comment_table(spark, table, comment)
+
+
+def locations(spark: SparkSession, table: str) -> dict[tuple[str, ...], str]:
+    """Where each partition's files lie; a statement per partition, and so per month."""
+    found = {}
+    for name in partitions(spark, table):
+        keys, values = zip(*(part.split("=", 1) for part in name.split("/")))
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {_specification(keys, values)}")
+        at = described.where("col_name = 'Location'").first()["data_type"]
+        found[values] = at
+    return found
+
+
+def vacuum(
+    spark: SparkSession, directory: str, tables: Iterable[str], keep_hours: float = 168
+) -> list[str]:
+    """Delete partition directories below ``directory`` that no table points at.
+
+    Only those whose files are all older than ``keep_hours`` go, so that readers and
+    writers at work keep theirs. ``tables`` must name every table that may point there.
+    """
+    used = {_plain(at) for table in tables for at in locations(spark, table).values()}
+    try:
+        files = _parquet_files(spark, directory)
+    except AnalysisException:
+        return []
+    leaf = F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("leaf")
+    old = F.max("modificationTime") < F.current_timestamp() - F.make_dt_interval(
+        mins=F.lit(keep_hours * 60).cast("int")
+    )
+    aged = files.groupBy(leaf).agg(old.alias("old")).where("old").collect()
+    gone = [row.leaf for row in aged if _plain(row.leaf) not in used]
+    for path in map(spark._jvm.org.apache.hadoop.fs.Path, gone):
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
+
+
+def _plain(location: str) -> str:
+    """A path without the scheme's optional slashes, to compare spellings of one place."""
+    scheme, rest = location.split(":", 1) if ":" in location else ("file", location)
+    return f"{scheme}:/{unquote(rest).lstrip('/')}"
+
+
+def _write_aside(frame: DataFrame, table: str) -> str:
     """Write the frame to a new table beside ``table``; nothing stays on failure."""
     spark, aside = frame.sparkSession, f"{table}__{uuid4().hex[:12]}"
-    _create(spark, aside, frame.schema, keys)
+    _create(spark, aside, frame.schema)
     try:
-        _overwrite_present(frame, table_location(spark, aside), keys)
+        frame.write.mode("overwrite").parquet(table_location(spark, aside))
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS {aside}")
         raise
@@ -199,44 +345,119 @@ def overwrite_table(frame: DataFrame, table: str, comment: str | None = None) ->
     comment_table(spark, table, comment)
 
 
-def table_bytes(spark: SparkSession, table: str) -> int:
-    """Size of the table's files, from the listing alone."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", True)
-        .load(table_location(spark, table))
-    )
+def _parquet_files(spark: SparkSession, *directories: str) -> DataFrame:
+    """Files below directories, from the listing alone."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    return reader.option("recursiveFileLookup", True).load(list(directories)).drop("content")
+
+
+def table_bytes(spark: SparkSession, table: str, only: Iterable[str] | None = None) -> int:
+    """Size of the files of a partitioned table, or of the locations named."""
+    places = list(locations(spark, table).values() if only is None else only)
+    if not places:
+        return 0
+    files = _parquet_files(spark, *places)
     return files.agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
 
 
+def _rank_of(value: Column, bounds: Sequence[float]) -> Column:
+    """How many of the sorted bounds a value reaches, found among groups of bounds first."""
+    if not bounds:
+        return F.lit(0)
+    step = max(1, ceil(len(bounds) ** 0.5))
+    groups = [list(bounds[i : i + step]) for i in range(0, len(bounds), step)]
+    firsts = F.array(*(F.lit(group[0]) for group in groups))
+    group = F.size(F.filter(firsts, lambda bound: bound <= value))
+    nested = F.array(*(F.array(*map(F.lit, group)) for group in groups))
+    inside = F.size(F.filter(F.element_at(nested, F.greatest(group, F.lit(1))), lambda bound: bound <= value))
+    return F.coalesce(F.when(group > 0, (group - 1) * step + inside), F.lit(0))
+
+
+def interleaved(rows: DataFrame, by: Sequence[str], bits: int = INTERLEAVED_BITS) -> Column:
+    """A whole number that keeps rows near in every column of ``by`` near each other.
+
+    Each value becomes its rank among 2 ** bits quantiles of its column, so that columns
+    of any scale and skew weigh the same; the bits of the ranks take turns. Numbers, times
+    and texts are ranked, texts by their first six bytes. Missing values come first. Quantiles
+    are bounds from one scan of these columns, 2 ** bits numbers for each.
+    """
+    kinds = dict(rows.dtypes)
+
+    def number(name: str) -> Column:
+        if kinds[name] == "string":
+            return F.conv(F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
+        if kinds[name].startswith("timestamp") or kinds[name] == "date":
+            return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+        return F.col(name).cast("double")
+
+    shares = F.array(*(F.lit(i / 2**bits) for i in range(1, 2**bits)))
+    sketches = rows.agg(*(F.kll_sketch_agg_double(number(name), 2048).alias(f"s{i}") for i, name in enumerate(by)))
+    bounds = sketches.select(
+        *(
+            F.when(F.kll_sketch_get_n_double(f"s{i}") > 0, F.kll_sketch_get_quantile_double(f"s{i}", shares)).alias(f"s{i}")
+            for i in range(len(by))
+        )
+    ).first()
+    ranks = [_rank_of(number(name), bounds[i] or []).cast("long") for i, name in enumerate(by)]
+    turns = [
+        F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1).cast("long")), bit * len(by) + i)
+        for i, rank in enumerate(reversed(ranks))
+        for bit in range(bits)
+    ]
+    return reduce(Column.bitwiseOR, turns)
+
+
 def cluster_table(
     spark: SparkSession,
     table: str,
     keys: Sequence[str],
     by: Sequence[str],
     file_bytes: int = 1024 * 1024 * 1024,
+    only: Iterable[tuple[str, ...]] | None = None,
+    interleave: bool = False,
 ) -> None:
-    """Rewrite the table with files that hold disjoint ranges of ``by``.
+    """Rewrite partitions with files that hold disjoint ranges of ``by``.
 
-    Ranges end with a hash of each row's file and position. That is stable when
-    a task is run again, and splits a value (or a row) repeated any number of
-    times. The clustered copy is complete before it takes the table's place.
+    With ``interleave`` the columns of ``by`` count alike, and filters on any of them skip
+    files; without, the first one leads. ``only`` names the partitions, by values; by default
+    all. Ranges end with a hash of each row's file and position. That is stable when a
+    task is run again, and splits a value (or a row) repeated any number of times. A
+    partition's clustered copy is complete before it takes the partition's place.
     """
-    files = max(1, ceil(table_bytes(spark, table) / file_bytes))
-    rows, comment = spark.table(table), table_detail(spark, table, "Comment")
-    tie = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    places = locations(spark, table)
+    chosen = set(places) if only is None else set(places).intersection(only)
+    if not chosen:
+        return
+    files = max(1, ceil(table_bytes(spark, table, (places[v] for v in chosen)) / file_bytes))
+    rows = spark.table(table)
+    if only is not None:
+        rows = rows.where(_is_one_of(keys, chosen))
+    own = {"_tie": F.xxhash64("_metadata.file_path", "_metadata.row_index")}
+    order = [*keys, *by]
+    if interleave:
+        own["_curve"] = interleaved(rows, by)
+        order = [*keys, "_curve"]
     clustered = (
-        rows.select(*rows.columns, tie.alias("_tie"))
-        .repartitionByRange(files, *keys, *by, "_tie")
-        .sortWithinPartitions(*keys, *by)
-        .drop("_tie")
+        rows.select(*rows.columns, *(value.alias(name) for name, value in own.items()))
+        .repartitionByRange(files, *order, "_tie")
+        .sortWithinPartitions(*order)
+        .drop(*own)
     )
-    _take_place(spark, _write_aside(clustered, table, keys), table)
-    # The new directory's partitions are not in the catalog yet.
-    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
-    spark.catalog.refreshTable(table)
-    comment_table(spark, table, comment)
+    version = write_version(clustered, versions_of(spark, table), keys)
+    switch_partitions(spark, table, keys, written(spark, version))
+
+
+def _is_one_of(keys: Sequence[str], partitions: Iterable[tuple[str, ...]]) -> Column:
+    """Whether a row is in one of the partitions, for the catalog to prune by."""
+
+    def same(key: str, value: str) -> Column:
+        return F.col(key).isNull() if value == _NO_VALUE else F.col(key) == unquote(value)
+
+    each = [
+        reduce(Column.__and__, (same(k, v) for k, v in zip(keys, values)))
+        for values in sorted(partitions)
+    ]
+    return reduce(Column.__or__, each, F.lit(False))
 
 
 def analyze_table(
@@ -247,5 +468,25 @@ def analyze_table(
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR {which}")
 
 
+def analyze_partitions(
+    spark: SparkSession, table: str, keys: Sequence[str], values: Iterable[tuple[str, ...]]
+) -> None:
+    """Row count and size of the partitions named; no file of any other is read."""
+    for partition in sorted(values):
+        which = _specification(keys, partition)
+        spark.sql(f"ANALYZE TABLE {table} {which} COMPUTE STATISTICS")
+
+
+def partition_rows(spark: SparkSession, table: str, keys: Sequence[str]) -> dict[tuple[str, ...], int | None]:
+    """Rows of each partition as the catalog knows them; None where it does not."""
+    found = {}
+    for values in partition_values(spark, table):
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {_specification(keys, values)}")
+        known = described.where("col_name = 'Partition Statistics'").first()
+        rows = known and re.search(r"(\d+) rows", known["data_type"])
+        found[values] = int(rows[1]) if rows else None
+    return found
+
+
 def describe(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"DESCRIBE TABLE {table}")

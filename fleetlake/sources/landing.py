@@ -26,8 +26,8 @@ from fleetlake.operators.shaping import column
 _MONTH_DIRECTORY = r"ref_year=(\d{4})/ref_month=(\d{2})"
 _PUBLISHED_NAME = r"(yellow|green)_tripdata_(\d{4})-(\d{2})\.parquet$"
 
-#: First and last month as YYYY-MM, both included.
-Months = tuple[str, str]
+#: Months as YYYY-MM: first and last of a range, both included, or a set of them.
+Months = tuple[str, str] | frozenset[str]
 
 
 def ref_month_of(path: Column) -> tuple[Column, Column]:
@@ -198,7 +198,17 @@ def _read_group(spark: SparkSession, root: str, group: SchemaGroup) -> DataFrame
 
 def in_months(months: Months | None) -> Column:
     """Whether the file month is one of ``months``; always where none are given."""
-    return F.lit(True) if months is None else F.concat_ws("-", *FILE_MONTH).between(*months)
+    if months is None:
+        return F.lit(True)
+    month = F.concat_ws("-", *FILE_MONTH)
+    return month.between(*months) if isinstance(months, tuple) else month.isin(sorted(months))
+
+
+def covers(months: Months | None, month: str) -> bool:
+    """The same for one month."""
+    if isinstance(months, tuple):
+        return months[0] <= month <= months[1]
+    return months is None or month in months
 
 
 def read_landing(spark: SparkSession, root: str, months: Months | None = None) -> DataFrame:
@@ -219,9 +229,9 @@ def read_landing(spark: SparkSession, root: str, months: Months | None = None) -
     strays = [m.example for m in landed if not m.ref_year]
     if strays:
         raise ValueError(f"path outside the expected layout: {strays[0]}")
-    chosen = [m for m in landed if not months or months[0] <= f"{m.ref_year}-{m.ref_month}" <= months[1]]
+    chosen = [m for m in landed if covers(months, f"{m.ref_year}-{m.ref_month}")]
     if not chosen:
-        raise ValueError(f"no parquet file under {root} from {months[0]} to {months[1]}")
+        raise ValueError(f"no parquet file under {root} in months {sorted(months)}")
     directories = [f"{root}/ref_year={m.ref_year}/ref_month={m.ref_month}" for m in chosen]
     parts = [_read_group(spark, root, g) for g in schema_groups(spark, directories)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
