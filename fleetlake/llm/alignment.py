@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import io
 import json
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,6 +34,7 @@ BATCH_ROWS = 100_000
 REMEMBERED = 200_000
 _TEXTS = 64
 _BITS = 20
+_NAMES = [str(i) for i in range(1 << 17)]
 _IPC = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
 
 
@@ -42,11 +44,11 @@ class Pieces:
     def __init__(self, of: dict[int, bytes]) -> None:
         self.of = of
         top = max(of, default=-1) + 1
-        self.length = np.zeros(top, np.int64)
-        self.spaced = np.zeros(top, bool)
-        for i, piece in of.items():
-            self.length[i] = len(piece)
-            self.spaced[i] = piece[:1] == b" "
+        if top > len(_NAMES) or b"" in of.values():
+            raise ValueError(f"ids are below {len(_NAMES)}, and no token is empty")
+        self.lengths = [len(of.get(i, b"")) for i in range(top)]
+        self.length = np.array(self.lengths, np.int64)
+        self.spaced = np.array([of.get(i, b"")[:1] == b" " for i in range(top)], bool)
 
     def joined(self, ids: list[int]) -> bytes:
         return b"".join(map(self.of.__getitem__, ids))
@@ -81,18 +83,31 @@ def _entries(path: str) -> Pieces:
     return Pieces(entry_bytes(path))
 
 
-def window_links(a: np.ndarray, b: np.ndarray, first: Pieces, second: Pieces) -> tuple[str, bytes]:
+def window_links(a: list[int], b: list[int], first: Pieces, second: Pieces) -> tuple[str, bytes]:
     """The groups of a window as text, and its links as 64-bit numbers first id << 20 | second id, in order.
 
     Both sides have the same bytes. A group ends where tokens of both end.
     """
-    ends_a, ends_b = np.cumsum(first.length[a]), np.cumsum(second.length[b])
-    _, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-    groups, from_a, from_b = [], 0, 0
-    for i, j in zip(at_a.tolist(), at_b.tolist()):
-        groups.append(",".join(map(str, a[from_a : i + 1].tolist())) + "|" + ",".join(map(str, b[from_b : j + 1].tolist())))
-        from_a, from_b = i + 1, j + 1
-    return ";".join(groups), (a[at_a].astype(np.int64) << _BITS | b[at_b]).tobytes()
+    length_a, length_b, names = first.lengths, second.lengths, _NAMES
+    groups, links = [], []
+    i = j = from_a = from_b = 0
+    end_a, end_b = length_a[a[0]], length_b[b[0]]
+    while True:
+        if end_a < end_b:
+            i += 1
+            end_a += length_a[a[i]]
+        elif end_b < end_a:
+            j += 1
+            end_b += length_b[b[j]]
+        else:
+            groups.append(",".join([names[x] for x in a[from_a : i + 1]]) + "|" + ",".join([names[x] for x in b[from_b : j + 1]]))
+            links.append(a[i] << _BITS | b[j])
+            i, j = i + 1, j + 1
+            if i == len(a):
+                return ";".join(groups), struct.pack(f"<{len(links)}q", *links)
+            from_a, from_b = i, j
+            end_a += length_a[a[i]]
+            end_b += length_b[b[j]]
 
 
 class Aligner:
@@ -118,7 +133,7 @@ class Aligner:
     def aligned(self, window: tuple[bytes, bytes]) -> tuple[str, bytes]:
         found = self.windows.get(window)
         if found is None:
-            found = window_links(*(np.frombuffer(side, "<u4") for side in window), self.first, self.second)
+            found = window_links(*(memoryview(side).cast("I").tolist() for side in window), self.first, self.second)
             if len(self.windows) < REMEMBERED:  # what comes often comes early
                 self.windows[window] = found
         return found
