@@ -11,6 +11,7 @@ drawn without replacement.
 
 from __future__ import annotations
 
+import math
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -108,22 +109,17 @@ def histogram(found: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     return counted.groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def gains(documents: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """(bucket, gain) of every bucket, from two histograms: floor(1000 ln((t+1)(S+buckets) / ((s+1)(T+buckets)))), in doubles."""
-    every = documents.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-    table = (
-        every.join(documents.select("bucket", F.col("n").alias("s")), "bucket", "left")
-        .join(target.select("bucket", F.col("n").alias("t")), "bucket", "left")
-        .fillna(0, ["s", "t"])
-    )
-    # as many rows as buckets
-    totals = F.broadcast(table.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t")))
+def gains(documents: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> list[int]:
+    """The gain of every bucket, from two histograms: floor(1000 ln((t+1)(S+buckets) / ((s+1)(T+buckets)))), in doubles.
 
-    def number(name: str, more: int) -> Column:
-        return F.col(name).cast("double") + F.lit(float(more))
-
-    share = number("t", 1) * number("all_s", buckets) / (number("s", 1) * number("all_t", buckets))
-    return table.crossJoin(totals).select("bucket", F.floor(F.lit(1000.0) * F.log(share)).cast("long").alias("gain"))
+    As many numbers as buckets come to the driver, whatever the tables hold.
+    """
+    s, t = ([0.0] * buckets for _ in range(2))
+    for counts, found in ((s, documents), (t, target)):
+        for row in found.collect():
+            counts[row["bucket"]] = float(row["n"])
+    all_s, all_t = sum(s) + buckets, sum(t) + buckets
+    return [math.floor(1000 * math.log((b + 1) * all_s / ((a + 1) * all_t))) for a, b in zip(s, t)]
 
 
 def weigh(found: DataFrame, table: list[int]) -> DataFrame:
@@ -201,8 +197,6 @@ def resample(
     """
     found = stored(features(docs, id_column, text_column, buckets, words))
     sample = features(target.select(F.lit(0).alias("doc_id"), F.col(target_column).alias("text")), buckets=buckets, words=words)
-    table = gains(histogram(found, buckets), histogram(sample, buckets), buckets)
-    by_bucket = [row["gain"] for row in table.orderBy("bucket").collect()]
-    weighed = weigh(found, by_bucket)
+    weighed = weigh(found, gains(histogram(found, buckets), histogram(sample, buckets), buckets))
     scored = weighed.withColumn("score", F.col("weight") + noise("doc_id", seed))
     return draw(scored, percent, least_words)
