@@ -1,22 +1,29 @@
-"""Near-duplicate embeddings by exact cosine, in blocks that lie near each other.
-
-Unit vectors go to the list of their nearest coarse centroid, and lists that follow each
-other are cut into blocks of bounded size. Two blocks are compared unless the balls around
-them are further apart than the threshold allows, so no link is lost, and a link counts
-for both of its vectors. Pairs are ranked by a matrix product and again by exact cosine
-in double precision. Comparisons report counts and a spanning set of links, never the
-pairs. Where balls overlap, as they do in nearly isotropic vectors, work grows as the
-square of the vectors.
-
-There are about twice the root of the vectors' number of lists, `MOST_LISTS` at most; they
-only say which vectors are put together. Centroids are fitted on a sample of `SAMPLE_ROWS`
-vectors, or `ROWS_A_LIST` for each list where that is more, but of at most
-`SAMPLE_NUMBERS` components together; all vectors are compared.
+"""Near-duplicate embeddings by product quantisation.
+
+Unit vectors go to the inverted list of their nearest coarse centroid, and what is left
+after the centroid is coded in subspaces, a byte for each. A query goes to the lists of its
+nearest centroids, a byte for each of its dimensions, and reads its distances to the codes
+there from tables of its own. A coded vector is a candidate while the triangle inequality
+allows the threshold, given how far both are from what was sent of them; so within probed
+lists no link is lost.
+
+Candidates are not written as pairs. Two lists learn which of their vectors have any
+candidate in the other, asked from either side, and only these meet, once for each two lists,
+to be compared by exact cosine in double precision. A list meets itself as well. A meeting
+reports counts for the vectors of both sides and a spanning set of links.
+
+Probes: vectors at just the threshold from sampled ones are made in random directions, and
+`PROBE_FACTOR` times as many lists are probed as find `RECALL` of these partners from either
+side, whatever the size of the table. There are about twice the root of the vectors' number of
+lists, `MOST_LISTS` at most. Centroids and probes are fitted on a sample of `SAMPLE_ROWS` vectors,
+or `ROWS_A_LIST` for each list where that is more, but of at most `SAMPLE_NUMBERS` components
+together, code books on `CODE_ROWS` of it; all vectors are indexed and all are queries.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -29,16 +36,25 @@ SAMPLE_ROWS = 20_000
 ROWS_A_LIST = 8
 SAMPLE_NUMBERS = 1 << 24
 MOST_LISTS = 16_384
-CELL_ROWS = 4096
-BLOCK_NUMBERS = 1 << 21
-_PLACED = "rep long, copies long, vector binary, size int, list int"
-_BLOCK = "block int, mean array<double>, reach double, blob binary"
-
-
-def _all_nearest(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    """Index of the nearest centre of each row, in blocks of bounded size."""
-    step, size = _step(len(centres)), (centres**2).sum(1)
-    return np.concatenate([(size - 2 * rows[i : i + step] @ centres.T).argmin(1) for i in range(0, len(rows), step)])
+SUBSPACES = 16
+CODES = 256
+CODE_ROWS = 8_000
+RECALL = 0.995
+PROBE_FACTOR = 2
+PROBE_TRIALS = 2_000
+CELL_ROWS = 2048
+_STEPS = 127
+_ROW = "rep long, size int, code binary, error float, query binary, scale float, list int, probes array<int>"
+_CANDIDATES = "low int, high int, list int, rep long"
+
+
+def _nearest(rows: np.ndarray, centres: np.ndarray, n: int = 1) -> np.ndarray:
+    """Indices of the n nearest centres of each row, nearest first."""
+    distance = (centres**2).sum(1)[None, :] - 2 * rows @ centres.T
+    if n == 1:
+        return distance.argmin(1)[:, None]
+    found = np.argpartition(distance, n - 1, axis=1)[:, :n]
+    return np.take_along_axis(found, np.take_along_axis(distance, found, 1).argsort(1), 1)
 
 
 def _step(centres: int) -> int:
@@ -46,6 +62,12 @@ def _step(centres: int) -> int:
     return max(64, min(2048, (1 << 22) // centres))
 
 
+def _all_nearest(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Index of the nearest centre of each row, in blocks of bounded size."""
+    step = _step(len(centres))
+    return np.concatenate([_nearest(rows[i : i + step], centres)[:, 0] for i in range(0, len(rows), step)])
+
+
 def _centres(rows: np.ndarray, n: int, rounds: int = 12) -> np.ndarray:
     """k-means from evenly spaced rows of a shuffle with a fixed seed."""
     rng = np.random.default_rng(7)
@@ -53,17 +75,70 @@ def _centres(rows: np.ndarray, n: int, rounds: int = 12) -> np.ndarray:
     for _ in range(rounds):
         mine = _all_nearest(rows, centres)
         counts = np.bincount(mine, minlength=len(centres))
-        sums = np.zeros_like(centres)
-        np.add.at(sums, mine, rows)
-        full = counts > 0
-        centres[full] = sums[full] / counts[full, None]
+        order = np.argsort(mine, kind="stable")
+        full = np.flatnonzero(counts)
+        starts = (np.cumsum(counts) - counts)[full]
+        centres[full] = np.add.reduceat(rows[order], starts, axis=0) / counts[full, None]
     return centres
 
 
-def _lists(rows: np.ndarray, n: int) -> np.ndarray:
-    """Centres of n lists at most, near ones after each other."""
-    centres = _centres(rows, min(n, len(rows)))
-    return centres[np.argsort(_all_nearest(centres, _centres(centres, int(len(centres) ** 0.5))), kind="stable")]
+def _partners(rows: np.ndarray, threshold: float) -> np.ndarray:
+    """A vector at just the threshold from each row, in a random direction of a fixed seed."""
+    side = np.random.default_rng(11).normal(size=rows.shape)
+    side -= (side * rows).sum(1, keepdims=True) * rows
+    side /= np.maximum(np.linalg.norm(side, axis=1, keepdims=True), 1e-12)
+    return threshold * rows + np.sqrt(max(0.0, 1 - threshold**2)) * side
+
+
+@dataclass
+class Index:
+    """Coarse centroids, code books of the subspaces of residuals, and how many lists are probed."""
+
+    coarse: np.ndarray
+    books: np.ndarray  # subspace, code, dimension within
+    probes: int
+
+    @staticmethod
+    def fit(rows: np.ndarray, lists: int, threshold: float) -> Index:
+        coarse = _centres(rows, min(lists, len(rows)))
+        some = rows[:CODE_ROWS]
+        left = some - coarse[_all_nearest(some, coarse)]
+        width = -(-rows.shape[1] // SUBSPACES)
+        left = np.pad(left, ((0, 0), (0, width * SUBSPACES - rows.shape[1])))
+        books = [_centres(left[:, i * width : (i + 1) * width], min(CODES, len(some)), 6) for i in range(SUBSPACES)]
+        trial = rows[:PROBE_TRIALS]
+        ranks = Index._ranks(trial, _partners(trial, threshold), coarse)
+        probes = int(np.sort(ranks)[max(0, int(np.ceil(RECALL * len(ranks))) - 1)]) + 1
+        return Index(coarse, np.stack(books), min(len(coarse), PROBE_FACTOR * probes))
+
+    @staticmethod
+    def _ranks(rows: np.ndarray, partners: np.ndarray, coarse: np.ndarray) -> np.ndarray:
+        """How many lists are nearer to one vector than its partner's list, from the better side."""
+        size, ranks = (coarse**2).sum(1), []
+        for at in range(0, len(rows), 256):
+            sides = [size - 2 * x[at : at + 256] @ coarse.T for x in (rows, partners)]
+            for mine, other in (sides, sides[::-1]):
+                target = np.take_along_axis(mine, other.argmin(1)[:, None], 1)
+                ranks.append((mine < target).sum(1))
+        return np.minimum(np.concatenate(ranks[0::2]), np.concatenate(ranks[1::2]))
+
+    def split(self, residuals: np.ndarray) -> np.ndarray:
+        width = self.books.shape[2]
+        padded = np.pad(residuals, ((0, 0), (0, width * SUBSPACES - residuals.shape[1])))
+        return padded.reshape(len(residuals), SUBSPACES, width)
+
+    def encode(self, residuals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes, and how far each vector is from what its code says."""
+        parts = self.split(residuals)
+        codes = np.stack([_nearest(parts[:, i], self.books[i])[:, 0] for i in range(SUBSPACES)], axis=1).astype(np.uint8)
+        coded = np.stack([self.books[i][codes[:, i]] for i in range(SUBSPACES)], axis=1)
+        return codes, np.sqrt(((parts - coded) ** 2).sum((1, 2)))
+
+    def tables(self, residuals: np.ndarray) -> np.ndarray:
+        """Squared distances from each query to every code: subspace, query, code."""
+        parts = self.split(residuals)
+        product = np.einsum("qsd,scd->sqc", parts, self.books)
+        return ((parts**2).sum(2).T[:, :, None] + (self.books**2).sum(2)[:, None, :] - 2 * product).astype(np.float32)
 
 
 def _unit(rows: list, dimensions: int) -> np.ndarray:
@@ -75,34 +150,64 @@ def _unit(rows: list, dimensions: int) -> np.ndarray:
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
-def _pack(group: pd.DataFrame) -> pd.DataFrame:
-    """A block as one row: its ball, and its names, copies, sizes and vectors."""
-    vectors = np.frombuffer(b"".join(group["vector"]), np.float64).reshape(len(group), -1)
-    mean = vectors.mean(axis=0)
-    columns = [group[c].to_numpy(np.int64).tobytes() for c in ("rep", "copies", "size")]
-    return pd.DataFrame(
-        {
-            "block": [int(group["block"].iloc[0])],
-            "mean": [mean],
-            "reach": [float(np.sqrt(((vectors - mean) ** 2).sum(1).max())) + 1e-6],
-            "blob": [len(group).to_bytes(8, "little") + b"".join(columns) + vectors.tobytes()],
-        }
-    )
-
-
-def _unpack(blob: bytes) -> tuple[np.ndarray, ...]:
-    n = int.from_bytes(blob[:8], "little")
-    names, copies, sizes = np.frombuffer(blob, np.int64, 3 * n, 8).reshape(3, n)
-    return names, copies, sizes, np.frombuffer(blob, np.float64, -1, 8 + 24 * n).reshape(n, -1)
-
-
-def _compare(threshold: float):
-    """Counts of linked vectors for both blocks of a pair, and links that span what is linked there."""
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        blobs = [_unpack(x) for x in group.sort_values("block")["blob"]]
-        (names, copies, sizes, rows), (others, other_copies, other_sizes, other_rows) = blobs[0], blobs[-1]
-        same = len(blobs) == 1
+def _candidates(index: Index, dimensions: int, threshold: float):
+    """Which vectors of a list and of the queries sent there have any candidate, by their two lists."""
+    radius = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-5
+    steps = float(np.sqrt(dimensions)) / 2
+
+    def find(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        base, asked = group[group["is_base"]], group[~group["is_base"]]
+        if base.empty or asked.empty:
+            return pd.DataFrame({"low": [], "high": [], "list": [], "rep": []}).astype({"low": "int32", "high": "int32", "list": "int32", "rep": "int64"})
+        codes = np.frombuffer(b"".join(base["code"]), np.uint8).reshape(len(base), SUBSPACES).T.astype(np.intp)
+        error, names = base["error"].to_numpy(np.float32), base["rep"].to_numpy()
+        scales = asked["scale"].to_numpy(np.float64)
+        sent = np.frombuffer(b"".join(asked["query"]), np.int8).reshape(len(asked), dimensions) * scales[:, None]
+        centre, homes = index.coarse[key[0]], asked["list"].to_numpy()
+        wide = scales * steps  # half a step off in every dimension at most
+        hit = np.zeros(len(asked), bool)
+        pairs = []
+        for home in np.unique(homes):
+            rows = np.flatnonzero(homes == home)
+            found = np.zeros(len(base), bool)
+            for at in range(0, len(rows), 64):
+                some = rows[at : at + 64]
+                tables = index.tables(sent[some] - centre)
+                distance = np.take(tables[0], codes[0], axis=1)
+                for s in range(1, SUBSPACES):
+                    distance += np.take(tables[s], codes[s], axis=1)
+                near = distance <= (radius + wide[some, None] + error[None, :]) ** 2
+                hit[some] = near.any(1)
+                found |= near.any(0)
+            pairs.append((home, found))
+        low, high, lists, reps = [], [], [], []
+        for home, found in pairs:
+            mine = asked["rep"].to_numpy()[(homes == home) & hit]
+            for which, of in ((home, mine), (key[0], names[found])):
+                reps.append(of)
+                low.append(np.full(len(of), min(home, key[0]), np.int32))
+                high.append(np.full(len(of), max(home, key[0]), np.int32))
+                lists.append(np.full(len(of), which, np.int32))
+        columns = (np.concatenate(x) for x in (low, high, lists, reps))
+        return pd.DataFrame(dict(zip(("low", "high", "list", "rep"), columns)))
+
+    return find
+
+
+def _meet(dimensions: int, threshold: float):
+    """Counts of linked vectors for both sides of a meeting, and links that span what is linked there."""
+
+    def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        same_list, same_part = key[0] == key[1], key[2] == key[3]
+        left = group[group["is_left"]]
+        right = left if same_list and same_part else group[~group["is_left"]]
+        if left.empty or right.empty:
+            return pd.DataFrame({"a": [], "b": [], "n": []}).astype("int64")
+        sides = []
+        for side in (left, right):
+            names, copies, sizes = (side[c].to_numpy(np.int64) for c in ("rep", "copies", "size"))
+            sides.append((names, copies, sizes, _unit(list(side["v"]), dimensions)))
+        (names, copies, sizes, rows), (others, other_copies, other_sizes, other_rows) = sides
         nodes, slot = np.unique(np.concatenate([names, others]), return_inverse=True)
         root = np.arange(len(nodes))
         counts = np.zeros(len(nodes), np.int64)
@@ -116,7 +221,7 @@ def _compare(threshold: float):
             a, b = a[true], b[true]
             x, y = slot[a], slot[len(names) + b]
             np.add.at(counts, x, other_copies[b])
-            if not same:  # a block compared with itself has each pair twice
+            if right is not left:  # a side that meets itself has each pair twice
                 np.add.at(counts, y, copies[a])
             while len(x):
                 low = np.minimum(root[x], root[y])
@@ -151,6 +256,81 @@ def _sample(classes: DataFrame, n: int, rows: int, dimensions: int) -> list:
     return [r[0] for r in some.orderBy(order, "rep").select("v").limit(rows).collect()]
 
 
+def _parts(sized: DataFrame, *keys: str) -> DataFrame:
+    """How many parts of about CELL_ROWS rows each group is cut into."""
+    return sized.groupBy(*keys).agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("parts"))
+
+
+def _asked(placed: DataFrame, index: Index, dimensions: int, threshold: float) -> DataFrame:
+    """(low, high, list, rep): vectors of a list that have a candidate in the other of two lists."""
+    salt = F.xxhash64("rep")
+    asking = placed.select("rep", "query", "scale", "list", F.explode("probes").alias("at")).where("at <> list")
+    bases = _parts(placed.select("list"), "list").select(F.col("list").alias("at"), F.col("parts").alias("bases"))
+    asks = _parts(asking.select("at"), "at").select("at", F.col("parts").alias("asks"))
+    # one row per list, MOST_LISTS at most
+    parts = F.broadcast(stored(bases.join(asks, "at")))
+    common = ["at", "base_part", "ask_part", "is_base", "rep", "code", "error", "query", "scale", "list"]
+    nothing = F.lit(None).cast("binary")
+    there = (
+        placed.select("rep", "code", "error", "list", F.col("list").alias("at"))
+        .join(parts, "at")
+        .withColumn("base_part", F.pmod(salt, "bases").cast("int"))
+        .withColumn("ask_part", F.explode(F.sequence(F.lit(0), F.col("asks") - 1)))
+        .withColumn("is_base", F.lit(True))
+        .withColumn("query", nothing)
+        .withColumn("scale", F.lit(0.0).cast("float"))
+    )
+    sent = (
+        asking.join(parts, "at")
+        .withColumn("ask_part", F.pmod(salt, "asks").cast("int"))
+        .withColumn("base_part", F.explode(F.sequence(F.lit(0), F.col("bases") - 1)))
+        .withColumn("is_base", F.lit(False))
+        .withColumn("code", nothing)
+        .withColumn("error", F.lit(0.0).cast("float"))
+    )
+    cells = there.select(common).union(sent.select(common)).groupBy("at", "base_part", "ask_part")
+    return cells.applyInPandas(_candidates(index, dimensions, threshold), _CANDIDATES).distinct()
+
+
+def _meetings(classes: DataFrame, placed: DataFrame, asked: DataFrame) -> DataFrame:
+    """The rows of each meeting: two lists, the part of each, and the vectors of both sides."""
+    own = placed.select(F.col("list").alias("low"), F.col("list").alias("high"), "list", "rep")
+    called = stored(own.union(asked.select("low", "high", "list", "rep")))
+    counted = _parts(called, "low", "high", "list")
+    sizes = counted.groupBy("low", "high").agg(
+        F.max(F.when(F.col("list") == F.col("low"), F.col("parts"))).alias("lefts"),
+        F.max(F.when(F.col("list") == F.col("high"), F.col("parts"))).alias("rights"),
+    )
+    rows = called.join(sizes, ["low", "high"]).join(classes.select("rep", "copies", "v"), "rep")
+    rows = rows.withColumn("size", F.size("v"))
+    salt, one = F.xxhash64("rep"), F.col("low") == F.col("high")
+    left = F.col("list") == F.col("low")
+    mine = F.pmod(salt, F.when(left, F.col("lefts")).otherwise(F.col("rights"))).cast("int")
+    others = F.when(left, F.col("rights")).otherwise(F.col("lefts"))
+    # a list that meets itself: part i is on the left of every part from i on, on the right of those before
+    after = F.sequence(F.col("mine"), F.col("rights") - 1)
+    before = F.when(F.col("mine") > 0, F.sequence(F.lit(0), F.col("mine") - 1)).otherwise(F.array().cast("array<int>"))
+    meets = F.when(
+        one,
+        F.concat(
+            F.transform(after, lambda p: F.struct(F.lit(True).alias("is_left"), p.alias("other"))),
+            F.transform(before, lambda p: F.struct(F.lit(False).alias("is_left"), p.alias("other"))),
+        ),
+    ).otherwise(F.transform(F.sequence(F.lit(0), others - 1), lambda p: F.struct(left.alias("is_left"), p.alias("other"))))
+    split = rows.withColumn("mine", mine).withColumn("meets", F.explode(meets))
+    return split.select(
+        "low",
+        "high",
+        F.when(F.col("meets.is_left"), F.col("mine")).otherwise(F.col("meets.other")).alias("left_part"),
+        F.when(F.col("meets.is_left"), F.col("meets.other")).otherwise(F.col("mine")).alias("right_part"),
+        "meets.is_left",
+        "rep",
+        "copies",
+        "size",
+        "v",
+    ).groupBy("low", "high", "left_part", "right_part")
+
+
 def near_duplicates(
     table: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", threshold: float = 0.9
 ) -> DataFrame:
@@ -165,7 +345,8 @@ def near_duplicates(
     """
     spark = table.sparkSession
     ship(spark)
-    v = F.col(vector_column).cast("array<double>")
+    number = "float" if dict(table.dtypes)[vector_column] == "array<float>" else "double"
+    v = F.col(vector_column).cast(f"array<{number}>")
     rows = table.select(F.col(id_column).cast("long").alias("vec_id"), v.alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = F.coalesce(F.col("vec_id").isNotNull() & finite & F.exists("v", lambda x: x != 0), F.lit(False))
@@ -177,44 +358,35 @@ def near_duplicates(
     if not n:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
     lists = max(1, min(MOST_LISTS, int(2 * n**0.5)))
-    coarse = _lists(_unit(_sample(classes, n, max(SAMPLE_ROWS, lists * ROWS_A_LIST), dimensions), dimensions), lists)
-    step = _step(len(coarse))
+    sample = _sample(classes, n, max(SAMPLE_ROWS, lists * ROWS_A_LIST), dimensions)
+    index = Index.fit(_unit(sample, dimensions), lists, threshold)
+    step = _step(len(index.coarse))
 
     def assign(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for at in range(0, len(part), step):
                 some = part.iloc[at : at + step]
                 unit = _unit(list(some["v"]), dimensions)
+                near = _nearest(unit, index.coarse, index.probes)
+                codes, error = index.encode(unit - index.coarse[near[:, 0]])
+                scale = np.abs(unit).max(1) / _STEPS
                 yield pd.DataFrame(
                     {
                         "rep": some["rep"].to_numpy(),
-                        "copies": some["copies"].to_numpy(),
-                        "vector": [u.tobytes() for u in unit],
                         "size": [len(x) for x in some["v"]],
-                        "list": _all_nearest(unit, coarse).astype(np.int32),
+                        "code": [c.tobytes() for c in codes],
+                        "error": error.astype(np.float32) + np.float32(1e-5),
+                        "query": [q.tobytes() for q in np.rint(unit / scale[:, None]).astype(np.int8)],
+                        "scale": scale.astype(np.float32) * np.float32(1 + 1e-6),
+                        "list": near[:, 0].astype(np.int32),
+                        "probes": list(near.astype(np.int32)),
                     }
                 )
 
-    placed = stored(classes.select("rep", "copies", "v").mapInPandas(assign, _PLACED))
-    # one row per list, MOST_LISTS at most
-    lengths = sorted(placed.groupBy("list").count().collect())
-    starts = np.cumsum([0, *(r[1] for r in lengths)]).tolist()
-    starts = spark.createDataFrame([(r[0], r[1], s) for r, s in zip(lengths, starts)], "list int, length long, start long")
-    block_rows = min(CELL_ROWS, max(64, BLOCK_NUMBERS // dimensions))
-    # a place within the list by hash, so that blocks have about block_rows whatever the lists
-    place = F.col("start") + F.pmod(F.xxhash64("rep"), "length")
-    cut = placed.join(F.broadcast(starts), "list").withColumn("block", F.floor(place / block_rows).cast("int"))
-    blocks = stored(cut.select("rep", "copies", "vector", "size", "block").groupBy("block").applyInPandas(_pack, _BLOCK))
-    radius = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
-    ball = [F.col(c) for c in ("block", "mean", "reach")]
-    first = blocks.select(*[c.alias(f"first_{x}") for c, x in zip(ball, ("block", "mean", "reach"))])
-    second = blocks.select(*[c.alias(f"second_{x}") for c, x in zip(ball, ("block", "mean", "reach"))])
-    apart = F.sqrt(F.aggregate(F.zip_with("first_mean", "second_mean", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda x, y: x + y))
-    near = first.join(
-        second, (F.col("first_block") <= F.col("second_block")) & (apart <= F.col("first_reach") + F.col("second_reach") + radius)
-    ).select("first_block", "second_block", F.explode(F.array_distinct(F.array("first_block", "second_block"))).alias("block"))
-    cells = near.join(blocks.select("block", "blob"), "block").groupBy("first_block", "second_block")
-    found = stored(cells.applyInPandas(_compare(threshold), "a long, b long, n long"))
+    placed = stored(classes.select("rep", "v").mapInPandas(assign, _ROW))
+    asked = _asked(placed, index, dimensions, threshold)
+    cells = _meetings(classes, placed, asked)
+    found = stored(cells.applyInPandas(_meet(dimensions, threshold), "a long, b long, n long"))
     counted = found.where("n >= 0").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     roots = components(found.where("n < 0").select("a", "b"))
     joined = (
