@@ -25,6 +25,8 @@ BATCH_BYTES = 3_000_000
 BATCH_ROWS = 200_000
 BUCKET_ENTRIES = 2_000_000
 MOST_PARTITIONS = 20_000
+OUT_ROWS = 1024
+OUT_BYTES = 4_000_000
 _IPC = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
 _ANSWERS = "batch long, bucket int, codes binary"
 
@@ -129,20 +131,34 @@ def unpack_sorted(blob: bytes, drop_bits: int) -> np.ndarray:
 
 
 def per_batch(frame: DataFrame, make: Callable, schema: str, arguments: tuple[str, ...]) -> DataFrame:
-    """make(row values...) yields tuples of `schema` for every row; one row is in memory at a time."""
-    names = [part.split()[0] for part in schema.split(", ")]
+    """make(row values...) yields tuples of `schema`, or record batches, for every row.
+
+    One row is in memory at a time. Tuples go out together, up to `OUT_ROWS` or `OUT_BYTES`.
+    """
+    made_schema = _arrow(schema)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            columns = [pa.array(values, field.type) for values, field in zip(zip(*held), made_schema)]
+            return pa.RecordBatch.from_arrays(columns, schema=made_schema)
+
         for batch in rows:
             for i in range(batch.num_rows):
                 values = [batch.column(batch.schema.get_field_index(a))[i].as_py() for a in arguments]
                 for made in make(*values):
                     if isinstance(made, pa.RecordBatch):
                         yield made
-                    else:
-                        yield pa.RecordBatch.from_pandas(
-                            pd.DataFrame([made], columns=names), schema=_arrow(schema), preserve_index=False
-                        )
+                        continue
+                    held.append(made)
+                    size += sum(len(x) for x in made if isinstance(x, bytes))
+                    if len(held) == OUT_ROWS or size > OUT_BYTES:
+                        yield out()
+                        held, size = [], 0
+        if held:
+            yield out()
 
     return frame.select(*arguments).mapInArrow(run, schema)
 
@@ -199,6 +215,41 @@ def codes_of(answer: list[dict] | None, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def pack_wide(high: np.ndarray, low: np.ndarray, repeated: np.ndarray) -> bytes:
+    """Distinct 128-bit hashes in order of their high half, and whether each one recurs in its batch."""
+    n = len(high)
+    return n.to_bytes(4, "little") + low.tobytes() + repeated.astype(np.uint8).tobytes() + pack_sorted(high, 0)
+
+
+def compare_wide(payloads: list[bytes]) -> list[np.ndarray]:
+    """For each hash of `pack_wide`, 1 where it recurs in its batch or comes from another one too."""
+    highs, lows, repeated = [], [], []
+    for p in payloads:
+        n = int.from_bytes(p[:4], "little")
+        lows.append(np.frombuffer(p, np.uint64, n, 4))
+        repeated.append(np.frombuffer(p, np.uint8, n, 4 + 8 * n))
+        highs.append(unpack_sorted(p[4 + 9 * n :], 0))
+    high, low = np.concatenate(highs), np.concatenate(lows)
+    order = np.lexsort((low, high))
+    h, w = high[order], low[order]
+    same = (h[1:] == h[:-1]) & (w[1:] == w[:-1])
+    found = np.concatenate(repeated).copy()
+    # every member of a run of equal hashes has an equal neighbour, so all are marked
+    found[order[1:][same]] = 1
+    found[order[:-1][same]] = 1
+    return np.split(found, np.cumsum([len(x) for x in highs])[:-1])
+
+
+def distinct_wide(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs in order, as high and low halves, and the entry of each given one."""
+    order = np.lexsort((low, high))
+    h, w = high[order], low[order]
+    new = np.concatenate([[True], (h[1:] != h[:-1]) | (w[1:] != w[:-1])])[: len(h)]
+    entry = np.empty(len(order), np.int64)
+    entry[order] = np.cumsum(new) - 1
+    return h[new], w[new], entry
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit words (an invertible finaliser)."""
     x = x ^ (x >> np.uint64(30))

@@ -4,7 +4,7 @@ A passage of `window` words that occurs twice covers a whole reference block whe
 blocks of (window + 1) // 2 words lie end to end. So the blocks of every document are
 an index, and each rolling window of block length is a probe: where it meets a block
 of another place, a passage may extend on both sides. The extension is decided for
-all places at once: the windows of `window` words around hits are compared by 80-bit
+all places at once: the windows of `window` words around hits are compared by 128-bit
 hashes, and their union is the maximal repeats. Pairs of places never arise, so the
 work grows with the text however many copies a passage has.
 """
@@ -87,21 +87,13 @@ class Batch:
         return distinct, flags, at, entry
 
     def extensions(self, window: int, block: int, hits: np.ndarray):
-        """Windows that hold a hit: their starts, and their distinct 80-bit hashes in order."""
+        """Windows that hold a hit: their starts, and their distinct 128-bit hashes in order."""
         near = np.concatenate([[0], np.cumsum(hits)])
         starts = np.flatnonzero(self.left >= window)
         starts = starts[near[starts + window - block + 1] > near[starts]]
-        if not len(starts):
-            none = np.zeros(0, np.int64)
-            return starts, np.zeros(0, np.uint64), np.zeros(0, np.uint16), none, none
-        high = rolling(self.words, window)[starts]
-        low = (rolling(self.words, window, _BASES[1])[starts] >> np.uint64(48)).astype(np.uint16)
-        order = np.lexsort((low, high))
-        high, low = high[order], low[order]
-        new = np.concatenate([[True], (high[1:] != high[:-1]) | (low[1:] != low[:-1])])
-        entry = np.empty(len(order), np.int64)
-        entry[order] = np.cumsum(new) - 1
-        return starts, high[new], low[new], entry, np.diff(np.append(np.flatnonzero(new), len(order)))
+        halves = [rolling(self.words, window, base)[starts] if len(starts) else np.zeros(0, np.uint64) for base in _BASES]
+        high, low, entry = P.distinct_wide(*halves)
+        return starts, high, low, entry, np.bincount(entry, minlength=len(high))
 
 
 def _anchor_entries(drop: int, buckets: int, window: int, block: int):
@@ -136,24 +128,6 @@ def _compare_anchors(drop: int):
     return compare
 
 
-def _compare_windows(payloads: list[bytes]) -> list[np.ndarray]:
-    highs, lows, repeated = [], [], []
-    for p in payloads:
-        n = int.from_bytes(p[:4], "little")
-        lows.append(np.frombuffer(p, np.uint16, n, 4))
-        repeated.append(np.frombuffer(p, np.uint8, n, 4 + 2 * n))
-        highs.append(P.unpack_sorted(p[4 + 3 * n :], 0))
-    high, low = np.concatenate(highs), np.concatenate(lows)
-    order = np.lexsort((low, high))
-    h, w = high[order], low[order]
-    same = (h[1:] == h[:-1]) & (w[1:] == w[:-1])
-    found = np.concatenate(repeated).copy()
-    found[order[1:][same]] = 1
-    found[order[:-1][same]] = 1
-    # every member of a run of equal hashes has an equal neighbour, so all are marked
-    return np.split(found, np.cumsum([len(x) for x in highs])[:-1])
-
-
 def remove_repeats(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = 35, batch_bytes: int = P.BATCH_BYTES
 ) -> DataFrame:
@@ -192,11 +166,10 @@ def remove_repeats(
         for b in range(buckets):
             lo, hi = int(cuts[b]), int(cuts[b + 1])
             if lo < hi:
-                twice = (counts[lo:hi] > 1).astype(np.uint8)
-                yield batch, b, (hi - lo).to_bytes(4, "little") + low[lo:hi].tobytes() + twice.tobytes() + P.pack_sorted(high[lo:hi], 0)
+                yield batch, b, P.pack_wide(high[lo:hi], low[lo:hi], counts[lo:hi] > 1)
 
     windows = P.per_batch(probed, window_entries, _ENTRIES, ("batch", "blob", "hits"))
-    repeats = stored(P.answers(windows, buckets, _compare_windows))
+    repeats = stored(P.answers(windows, buckets, P.compare_wide))
 
     def removed(blob: bytes, answer: list | None, again: list | None) -> Iterator[pa.RecordBatch]:
         batch, (starts, high, _, entry, _) = candidates(blob, answer)

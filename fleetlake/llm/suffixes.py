@@ -11,8 +11,14 @@ size. Its suffixes are sorted, and common prefixes are found from the Burrows-Wh
 transform: intervals of equal prefixes are extended backwards breadth first, which
 gives common prefixes by increasing value, seeded with those below eight bytes and
 stopped at `length`. Boundaries that are still open then separate suffixes that share
-`length` bytes. An anchor with more than `piece_limit` different pieces does not go
-into one text; its windows are compared by 128-bit hash instead.
+`length` bytes.
+
+An anchor may be crowded: a line in a third of all documents, each time before other text.
+Batches first say how many different pieces each anchor has there, a few bytes an anchor.
+Anchors of one piece alone are done with; those with more than `crowd_limit` never meet as
+pieces. Their windows, and those of anchors with more than `piece_limit` pieces that differ,
+are compared by 128-bit hash in ranges of that hash, each once per batch, so that no task
+gets what belongs to one anchor.
 """
 
 from __future__ import annotations
@@ -31,6 +37,7 @@ from .common import stored
 
 ANCHOR = 24
 PIECE_LIMIT = 1500
+CROWD_LIMIT = 50_000
 TEXT_BYTES = 1_000_000
 _SEED = 8
 _ENTRIES = "batch long, bucket int, payload binary"
@@ -232,50 +239,84 @@ def _compare_pieces(limit: int):
     return compare
 
 
-def _payload(pieces: Pieces, which: np.ndarray, codes: np.ndarray) -> bytes:
-    """Keys, sizes and texts of pieces to sort; hashes of windows where there are too many."""
-    parts, sizes = [], []
-    for e in which.tolist():
-        text = pieces.text(e)
-        if codes[e] >= 4:
-            n = len(text) - pieces.length + 1
-            text = b"".join([xxhash.xxh3_128_digest(text[i : i + pieces.length]) for i in range(n)])
-        parts.append(text)
-        sizes.append(len(text))
-    body = pa.compress(b"".join(parts), "zstd", asbytes=True)
-    head = np.array([len(which), sum(sizes)], np.int64)
-    return head.tobytes() + pieces.keys[which].tobytes() + np.array(sizes, np.int64).tobytes() + codes[which].tobytes() + body
+def _anchor_payload(pieces: Pieces, anchors: np.ndarray, start: np.ndarray, lo: int, hi: int) -> bytes:
+    """Anchors in order; how many different pieces each has, whether any comes twice, and a sign of its first one."""
+    ends = np.append(start, len(pieces.keys))
+    many = np.minimum(np.diff(ends)[lo:hi], 0xFFFF).astype("<u2")
+    twice = np.add.reduceat(pieces.twice, start)[lo:hi] > 0
+    sign = pieces.keys["high"][start[lo:hi]].astype("<u4")
+    return (hi - lo).to_bytes(4, "little") + many.tobytes() + twice.astype(np.uint8).tobytes() + sign.tobytes() + P.pack_sorted(anchors[lo:hi], 0)
+
+
+def _compare_anchors(limit: int):
+    """0 one piece that comes once, 1 pieces to be compared, 2 crowded.
+
+    The first pieces of batches count once where they are equal, further ones of a batch each time,
+    so that a piece copied into all batches does not crowd its anchor.
+    """
+
+    def compare(payloads: list[bytes]) -> list[np.ndarray]:
+        anchors, many, twice, signs = [], [], [], []
+        for p in payloads:
+            n = int.from_bytes(p[:4], "little")
+            many.append(np.frombuffer(p, "<u2", n, 4))
+            twice.append(np.frombuffer(p, np.uint8, n, 4 + 2 * n))
+            signs.append(np.frombuffer(p, "<u4", n, 4 + 3 * n))
+            anchors.append(P.unpack_sorted(p[4 + 7 * n :], 0))
+        sizes = [len(x) for x in anchors]
+        joined, every = np.concatenate(anchors), np.concatenate(many).astype(np.int64)
+        order = np.lexsort((np.concatenate(signs), joined))
+        _, entry = np.unique(joined, return_inverse=True)
+        sign = np.concatenate(signs)[order]
+        first = np.ones(len(order), bool)
+        first[1:] = (joined[order][1:] != joined[order][:-1]) | (sign[1:] != sign[:-1])
+        different = np.bincount(entry, every - 1) + np.bincount(entry[order], first)
+        places = np.bincount(entry, every + np.concatenate(twice))
+        code = np.where(places < 2, 0, np.where(different > limit, 2, 1)).astype(np.uint8)[entry]
+        return np.split(code, np.cumsum(sizes)[:-1])
+
+    return compare
+
+
+def _text_payload(pieces: Pieces, which: np.ndarray) -> bytes:
+    """Keys, sizes and texts of pieces to sort."""
+    texts = [pieces.text(e) for e in which.tolist()]
+    sizes = np.array([len(t) for t in texts], np.int64)
+    body = pa.compress(b"".join(texts), "zstd", asbytes=True)
+    head = np.array([len(which), sizes.sum()], np.int64)
+    return b"T" + head.tobytes() + pieces.keys[which].tobytes() + sizes.tobytes() + body
+
+
+def _windows(pieces: Pieces, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct 128-bit hashes of all windows of pieces, the entry of each window, and which come twice."""
+    digest, length = xxhash.xxh3_128_digest, pieces.length
+    hashes = b"".join([digest(t[i : i + length]) for t in map(pieces.text, which.tolist()) for i in range(len(t) - length + 1)])
+    values = np.frombuffer(hashes, "<u8").reshape(-1, 2)
+    high, low, entry = P.distinct_wide(values[:, 0], values[:, 1])
+    counts = np.bincount(entry, np.repeat(1 + pieces.twice[which], pieces.windows[pieces.example[which]]), len(high))
+    return high, low, entry, counts > 1
 
 
 def _compare_texts(length: int):
+    """Whether each window of the pieces, or each hash, starts elsewhere too."""
+
     def compare(payloads: list[bytes]) -> list[np.ndarray]:
+        if payloads[0][:1] == b"W":  # a bucket has one kind
+            return P.compare_wide([p[1:] for p in payloads])
         held: dict[bytes, bytes] = {}
-        hashed: dict[bytes, bytes] = {}
         rows: list[list[bytes]] = []
-        for p in payloads:
+        for p in (memoryview(p)[1:] for p in payloads):
             n, total = (int(x) for x in np.frombuffer(p, np.int64, 2))
             sizes = np.frombuffer(p, np.int64, n, 16 + _SIZE * n).tolist()
-            codes = p[16 + (_SIZE + 8) * n :][:n]
-            body = pa.decompress(p[16 + (_SIZE + 9) * n :], total, "zstd", asbytes=True)
+            body = pa.decompress(pa.py_buffer(p[16 + (_SIZE + 8) * n :]), total, "zstd", asbytes=True)
             at, mine = 0, []
             for i, size in enumerate(sizes):
-                key = p[16 + _SIZE * i : 16 + _SIZE * (i + 1)]
-                (hashed if codes[i] >= 4 else held).setdefault(key, body[at : at + size])
+                key = bytes(p[16 + _SIZE * i : 16 + _SIZE * (i + 1)])
+                held.setdefault(key, body[at : at + size])
                 mine.append(key)
                 at += size
             rows.append(mine)
         flags: dict[bytes, np.ndarray] = {}
-        if hashed:
-            values = np.frombuffer(b"".join(hashed.values()), "<u8").reshape(-1, 2)
-            order = np.lexsort((values[:, 1], values[:, 0]))
-            same = (values[order[1:]] == values[order[:-1]]).all(axis=1)
-            found = np.zeros(len(values), bool)
-            found[order[1:][same]] = True
-            found[order[:-1][same]] = True
-            at = 0
-            for key, value in hashed.items():
-                flags[key] = found[at : at + len(value) // 16]
-                at += len(value) // 16
         shard: list[bytes] = []
         total = 0
         ordered = sorted(held, key=lambda k: k[:8])
@@ -291,6 +332,25 @@ def _compare_texts(length: int):
     return compare
 
 
+class _Judged:
+    """The pieces of a batch with what has been found out of them.
+
+    Codes are those of `_compare_pieces`; an entry of a crowded anchor is like one of too many to sort.
+    """
+
+    def __init__(self, blob: bytes, length: int, buckets: int, crowds: list | None, kinds: list | None = None) -> None:
+        self.pieces = pieces = Pieces(blob, length)
+        anchors, start = np.unique(pieces.keys["anchor"], return_index=True)
+        state = P.codes_of(crowds, np.diff(P.splits(anchors, buckets)))
+        self.state = np.repeat(state, np.diff(np.append(start, len(pieces.keys))))
+        self.asked = np.flatnonzero(self.state == 1)
+        self.cuts = P.splits(pieces.keys["anchor"][self.asked], buckets)
+        self.codes = np.where(self.state == 2, 4, 0).astype(np.uint8)
+        self.codes[self.asked] = P.codes_of(kinds, np.diff(self.cuts))
+        self.sorted = np.flatnonzero((self.codes == 2) | (self.codes == 3))
+        self.crowded = np.flatnonzero(self.codes >= 4)
+
+
 def remove_repeats(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -298,6 +358,7 @@ def remove_repeats(
     length: int = 400,
     piece_limit: int = PIECE_LIMIT,
     batch_bytes: int = P.BATCH_BYTES,
+    crowd_limit: int = CROWD_LIMIT,
 ) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept (binary).
 
@@ -305,51 +366,74 @@ def remove_repeats(
     starts anywhere else, same document included. Null texts are empty; texts shorter
     than `length` stay whole; null or repeated ids stay rows of their own, so that a
     repeated row is a copy. Other columns are ignored; an empty table gives no rows.
-    `length` is 32 to 32,000.
+    `length` is 32 to 32,000. The limits choose how windows are compared, not which.
     """
     held = P.batches(docs, id_column, text_column, batch_bytes)
     n_bytes = held.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(1, math.ceil(n_bytes / (10 * P.BATCH_BYTES)))
     text_buckets = max(1, math.ceil(n_bytes / (3 * P.BATCH_BYTES)))
 
-    def key_entries(batch: int, blob: bytes) -> Iterator[tuple]:
+    def anchor_entries(batch: int, blob: bytes) -> Iterator[tuple]:
         pieces = Pieces(blob, length)
-        cuts = P.splits(pieces.keys["anchor"], buckets)
+        anchors, start = np.unique(pieces.keys["anchor"], return_index=True)
+        cuts = P.splits(anchors, buckets)
         for b in range(buckets):
             lo, hi = int(cuts[b]), int(cuts[b + 1])
             if lo < hi:
-                yield batch, b, pieces.keys[lo:hi].tobytes() + pieces.twice[lo:hi].astype(np.uint8).tobytes()
+                yield batch, b, _anchor_payload(pieces, anchors, start, lo, hi)
 
-    keys = P.per_batch(held, key_entries, _ENTRIES, ("batch", "blob"))
-    kinds = stored(P.answers(keys, buckets, _compare_pieces(piece_limit)))
-    judged = P.with_answers(held, kinds, "kinds")
+    anchors = P.per_batch(held, anchor_entries, _ENTRIES, ("batch", "blob"))
+    crowds = stored(P.answers(anchors, buckets, _compare_anchors(crowd_limit)))
+    counted = P.with_answers(held, crowds, "crowds")
 
-    def opened(blob: bytes, kinds: list | None) -> tuple[Pieces, np.ndarray, np.ndarray, np.ndarray]:
-        pieces = Pieces(blob, length)
-        codes = P.codes_of(kinds, np.diff(P.splits(pieces.keys["anchor"], buckets)))
-        which = np.flatnonzero(codes >= 2)
-        return pieces, codes, which, P.splits(pieces.keys["anchor"][which], text_buckets)
+    def key_entries(batch: int, blob: bytes, crowds: list | None) -> Iterator[tuple]:
+        judged = _Judged(blob, length, buckets, crowds)
+        for b in range(buckets):
+            some = judged.asked[int(judged.cuts[b]) : int(judged.cuts[b + 1])]
+            if len(some):
+                yield batch, b, judged.pieces.keys[some].tobytes() + judged.pieces.twice[some].astype(np.uint8).tobytes()
+
+    keys = P.per_batch(counted, key_entries, _ENTRIES, ("batch", "blob", "crowds"))
+    kinds = stored(P.answers(keys, buckets, _compare_pieces(piece_limit)))
+    judged_batches = P.with_answers(counted, kinds, "kinds")
 
-    def text_entries(batch: int, blob: bytes, kinds: list | None) -> Iterator[tuple]:
-        pieces, codes, which, cuts = opened(blob, kinds)
+    def text_entries(batch: int, blob: bytes, crowds: list | None, kinds: list | None) -> Iterator[tuple]:
+        judged = _Judged(blob, length, buckets, crowds, kinds)
+        cuts = P.splits(judged.pieces.keys["anchor"][judged.sorted], text_buckets)
         for b in range(text_buckets):
             lo, hi = int(cuts[b]), int(cuts[b + 1])
             if lo < hi:
-                yield batch, b, _payload(pieces, which[lo:hi], codes)
-
-    texts = P.per_batch(judged, text_entries, _ENTRIES, ("batch", "blob", "kinds"))
-    repeats = stored(P.answers(texts, text_buckets, _compare_texts(length)))
-
-    def removed(blob: bytes, kinds: list | None, repeats: list | None) -> Iterator[pa.RecordBatch]:
-        pieces, codes, which, cuts = opened(blob, kinds)
+                yield batch, b, _text_payload(judged.pieces, judged.sorted[lo:hi])
+        if len(judged.crowded):
+            high, low, _, twice = _windows(judged.pieces, judged.crowded)
+            cuts = P.splits(high, text_buckets)
+            for b in range(text_buckets):
+                lo, hi = int(cuts[b]), int(cuts[b + 1])
+                if lo < hi:
+                    yield batch, text_buckets + b, b"W" + P.pack_wide(high[lo:hi], low[lo:hi], twice[lo:hi])
+
+    texts = P.per_batch(judged_batches, text_entries, _ENTRIES, ("batch", "blob", "crowds", "kinds"))
+    repeats = stored(P.answers(texts, 2 * text_buckets, _compare_texts(length)))
+
+    def removed(blob: bytes, crowds: list | None, kinds: list | None, repeats: list | None) -> Iterator[pa.RecordBatch]:
+        judged = _Judged(blob, length, buckets, crowds, kinds)
+        pieces, codes = judged.pieces, judged.codes
         n = len(pieces.buffer)
         change = np.zeros(n + 1, np.int64)
         if len(pieces.first):
-            windows = pieces.windows[pieces.example[which]]
-            ends = np.concatenate([[0], np.cumsum(windows)])
-            found = P.codes_of(repeats, np.diff(ends[cuts]))
+            # flags of the windows of sorted pieces, in order, and then of the distinct hashes of crowded ones
+            windows = pieces.windows[pieces.example]
+            ends = np.concatenate([[0], np.cumsum(windows[judged.sorted])])
+            sizes = np.diff(ends[P.splits(pieces.keys["anchor"][judged.sorted], text_buckets)])
+            entry = np.zeros(0, np.int64)
+            if len(judged.crowded):
+                high, _, entry, _ = _windows(pieces, judged.crowded)
+                sizes = np.concatenate([sizes, np.diff(P.splits(high, text_buckets))])
+            found = P.codes_of(repeats, sizes)
+            found = np.concatenate([found[: ends[-1]], found[ends[-1] :][entry]])
             slot = np.full(len(pieces.keys), -1)
-            slot[which] = ends[:-1]
+            slot[judged.sorted] = ends[:-1]
+            slot[judged.crowded] = ends[-1] + np.cumsum(windows[judged.crowded]) - windows[judged.crowded]
             code = codes[pieces.entry]
             for piece in np.flatnonzero(code & 1).tolist():
                 change[pieces.first[piece]] += 1
@@ -380,6 +464,6 @@ def remove_repeats(
             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
         )
 
-    both = P.with_answers(judged, repeats, "repeats")
+    both = P.with_answers(judged_batches, repeats, "repeats")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
-    return P.per_batch(both, removed, schema, ("blob", "kinds", "repeats"))
+    return P.per_batch(both, removed, schema, ("blob", "crowds", "kinds", "repeats"))
