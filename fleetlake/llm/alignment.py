@@ -27,11 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from .common import ship, stored
-from .packing import _byte_of, token_ids
+from .packing import _byte_of, _tokenizer
 
-BATCH_BYTES = 6_000_000
+BATCH_BYTES = 4_000_000
 BATCH_ROWS = 100_000
 REMEMBERED = 200_000
+LONG_RUN = 2000
 _TEXTS = 64
 _BITS = 20
 _NAMES = [str(i) for i in range(1 << 17)]
@@ -89,6 +90,8 @@ def window_links(a: list[int], b: list[int], first: Pieces, second: Pieces) -> t
     Both sides have the same bytes. A group ends where tokens of both end.
     """
     length_a, length_b, names = first.lengths, second.lengths, _NAMES
+    if len(a) == 1 or len(b) == 1:  # one group
+        return ",".join([names[x] for x in a]) + "|" + ",".join([names[x] for x in b]), struct.pack("<q", a[-1] << _BITS | b[-1])
     groups, links = [], []
     i = j = from_a = from_b = 0
     end_a, end_b = length_a[a[0]], length_b[b[0]]
@@ -144,14 +147,28 @@ def _aligner(entries: str, pieces: str) -> Aligner:
     return Aligner(_entries(entries), _pieces(pieces)[1])
 
 
+def _first_ids(text: str, entries: str) -> list[int]:
+    """Ids of a text by the byte-level vocabulary, special strings as plain text.
+
+    The faster encoder of the same vocabulary does not like long runs without white space.
+    """
+    whole, fast = _tokenizer(entries)
+    if max(map(len, text.split())) > LONG_RUN:
+        return whole.encode(" " + text, add_special_tokens=False).ids
+    return fast.encode_ordinary(" " + text)
+
+
 def encode(texts: list[str], entries: str, pieces: str) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
     """Ids of both tokenizers for each text, or None where there are none or their bytes are not space and text."""
     first, (model, second) = _entries(entries), _pieces(pieces)
-    spaced = [" " + text for text in texts]
-    for text, whole, a, b in zip(texts, spaced, token_ids(spaced, entries), model.encode(texts, num_threads=1)):
-        ids = np.frombuffer(a, "<u4")
-        exact = text and second.joined(b) == whole.encode() == first.joined(ids.tolist())
-        yield (ids, np.array(b, "<u4")) if exact else None
+    for text, b in zip(texts, model.encode(texts, num_threads=1)):
+        spaced = (" " + text).encode()
+        # cheaper first: a text the second tokenizer changes needs no ids of the other
+        if not text or second.joined(b) != spaced:
+            yield None
+            continue
+        a = _first_ids(text, entries) if not text.isspace() else _tokenizer(entries)[0].encode(" " + text, add_special_tokens=False).ids
+        yield (np.array(a, "<u4"), np.array(b, "<u4")) if first.joined(a) == spaced else None
 
 
 class _Batch:
