@@ -18,7 +18,6 @@ from .common import stored
 BLOCK_ROWS = 8
 RESOLUTION = 128
 LONGEST_CYCLE = 8192
-BUCKET_ROWS = 50_000
 
 
 def target_shares(docs: DataFrame, source_column: str = "source", weights: dict[str, int] | None = None) -> DataFrame:
@@ -74,40 +73,42 @@ def mix(
 ) -> DataFrame:
     """All rows and columns, with each row's block in its source, the block's slot, and the place in the block.
 
-    Rows of a source are taken in the order of the MD5 of their id, then id, then hash of
-    all columns; (slot, place) is the order of the mixture. Sources run out at their own
+    Rows of a source are taken in the order of the MD5 of their id, then id, then as they are
+    read; (slot, place) is the order of the mixture. Sources run out at their own
     time; slots of a source that has run out stay empty, and the others go on. A null
     source is a source, null ids come first, repeated rows are rows. The new columns are
     called `names`, which must not clash. An empty table gives no rows.
 
-    A source is numbered in ranges of the MD5, as many as its rows need, so that a hot
-    source is many groups; only the counts of ranges are summed per source.
+    Rows are dealt by ranges of source, MD5, id and a number of their own, so that neither a
+    hot source nor one id in all rows gathers in a task; a row's number is its place in its
+    range, and only the counts of ranges are summed per source.
     """
     clash = set(names) & set(docs.columns)
     if clash:
         raise ValueError(f"columns {sorted(clash)} exist; choose other names")
     block, slot, place = names
     shares = stored(target_shares(docs, source_column, weights))
-    totals = shares.agg(F.count("*"), F.sum("share"), F.sum("n")).first()
+    totals = shares.agg(F.count("*"), F.sum("share")).first()
     if max(totals[0], totals[1] or 0) > LONGEST_CYCLE:
         raise ValueError(f"sources and their shares come to {LONGEST_CYCLE} at most")
-    ranges = max(256, -(-(totals[2] or 0) // BUCKET_ROWS))
-    named = F.coalesce(F.concat(F.lit("="), F.col(source_column).cast("string")), F.lit("")).alias("key")
-    digest = F.md5(F.coalesce(F.col(id_column).cast("string"), F.lit("")))
-    part = F.floor(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") / F.lit(2**32 // ranges + 1)).cast("int")
-    keys = docs.select(named, digest.alias("digest")).select("key", part.alias("part"))
-    earlier = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        keys.groupBy("key", "part")
-        .agg(F.count("*").alias("size"))
-        .select("key", "part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("offset"))
-    )
+    order = ["key", "digest", "id", "read"]
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), named, F.col(id_column).alias("id"), digest.alias("digest")
-    ).withColumn("part", part)
-    # the join deals rows by source and range; the numbering finds them there
-    within = Window.partitionBy("key", "part").orderBy("digest", "id", F.xxhash64("row"))
-    numbered = rows.join(offsets, ["key", "part"]).withColumn("number", F.col("offset") + F.row_number().over(within) - 1)
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.coalesce(F.concat(F.lit("="), F.col(source_column).cast("string")), F.lit("")).alias("key"),
+        F.md5(F.coalesce(F.col(id_column).cast("string"), F.lit(""))).alias("digest"),
+        F.col(id_column).alias("id"),
+        F.monotonically_increasing_id().alias("read"),
+    )
+    # number of the range, and place in it, in the upper and lower bits
+    dealt = stored(
+        rows.repartitionByRange(*order).sortWithinPartitions(*order).select("row", "key", F.monotonically_increasing_id().alias("at"))
+    )
+    at = dealt.select("row", "key", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND((1 << 33) - 1).alias("within"))
+    earlier = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = at.groupBy("key", "part").agg(F.count("*").alias("size"), F.min("within").alias("from"))
+    offsets = sizes.select("key", "part", (F.coalesce(F.sum("size").over(earlier), F.lit(0)) - F.col("from")).alias("offset"))
+    # sources follow each other, so there are fewer rows than ranges and sources together
+    numbered = at.join(F.broadcast(offsets), ["key", "part"]).withColumn("number", F.col("offset") + F.col("within"))
     plan = stored(schedule(shares))
     plan = plan.withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))).drop("source")
     # both have LONGEST_CYCLE rows at most
