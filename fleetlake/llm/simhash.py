@@ -142,7 +142,8 @@ def near_duplicates(
     Fingerprints within `distance` bits link; component_id is the smallest id that links
     reach. Null, empty and blank texts have fingerprint zero and link like others. Null
     ids are kept and never name a component unless all its ids are null; repeated rows
-    stay. Only ids and texts are read; an empty table gives no rows.
+    stay. Only ids and texts are read; an empty table gives no rows. A text is read whole, by
+    the task that has its row, a word at a time.
     """
     marked = stored(fingerprints(docs, id_column, text_column))
     named = _grouped(marked, distance).select("fingerprint", "component_id")
@@ -151,12 +152,13 @@ def near_duplicates(
     )
 
 
-def first_of_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", distance: int = 2) -> DataFrame:
-    """(doc_id, fingerprint): the row that names its group, once for each group with an id; fingerprints are longs.
+def first_of_groups(marked: DataFrame, distance: int = 2) -> DataFrame:
+    """(doc_id, fingerprint): the row that names its group, once for each group with an id.
 
-    Groups are told apart by their links, not by ids: different documents may share an id.
+    `marked` has doc_id and fingerprint, as a long, of every row. Groups are told apart by their
+    links, not by ids: different documents may share an id.
     """
-    marked = stored(fingerprints(docs, id_column, text_column))
+    marked = marked.select("doc_id", "fingerprint")
     named = marked.join(_grouped(marked, distance), "fingerprint").where("doc_id = component_id")
     return named.groupBy("root").agg(F.min("doc_id").alias("doc_id"), F.min("fingerprint").alias("fingerprint")).drop("root")
 
