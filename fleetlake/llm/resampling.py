@@ -151,25 +151,23 @@ def draw(scored: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WOR
 
     Floor(percent * N / 100) of the N rows with at least `least_words` words are drawn. Rows are
     dealt by ranges of score and id, and a number of their own, so that neither equal scores
-    nor repeated ids gather in one task; ranges are stored and numbered, and only the
-    number of rows of each range is summed. Rows equal in score and id are ranked one after the
+    nor repeated ids gather in one task; ranges are stored, a row's place in its range is its
+    number, and only the number of rows of each range is summed. Rows equal in score and id are ranked one after the
     other, null ids first.
     """
-    spark = scored.sparkSession
     order = [F.col("score").desc(), F.col("doc_id").asc_nulls_first(), F.col("row")]
     known = stored(scored.withColumn("row", F.monotonically_increasing_id()))
     fit = known.where(F.col("n_words") >= least_words)
     n = fit.count() * percent // 100
-    # about 64 MB of rows in a range
-    ranges = max(spark.sparkContext.defaultParallelism, n * 100 // max(percent, 1) // 1_000_000)
-    dealt = stored(fit.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id()))
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # number of the range, and place in it, in the upper and lower bits
+    dealt = stored(fit.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()))
+    part, within = F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND((1 << 33) - 1)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # a row for each range
-    sizes = dealt.groupBy("range").agg(F.count("*").alias("size")).withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    place = F.row_number().over(Window.partitionBy("range").orderBy(*order))
-    ranked = dealt.withColumn("place", place).join(F.broadcast(sizes.select("range", "before")), "range")
-    rank = F.col("before") + F.col("place")
+    sizes = dealt.groupBy(part).agg(F.count("*").alias("size")).select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))
+    rank = F.col("before") + within + 1
     columns = scored.columns
+    ranked = dealt.withColumn("part", part).join(F.broadcast(sizes), "part")
     drawn = ranked.withColumn("rank", F.when(rank <= n, rank).cast("long")).select(*columns, "rank")
     rest = known.where(~(F.coalesce(F.col("n_words"), F.lit(0)) >= least_words)).select(*columns)
     return drawn.union(rest.withColumn("rank", F.lit(None).cast("long")))

@@ -289,6 +289,33 @@ def test_plain_identifiers_equal_the_patterns():
         assert [s for s in pii.plain_spans(text) if s[0] < 2] == expected
 
 
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def passes_luhn(digits: str) -> bool:
+    doubled = [int(d) * 2 if i % 2 else int(d) for i, d in enumerate(reversed(digits))]
+    return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
+
+
+def test_plain_numbers_equal_the_patterns():
+    rng = random.Random(2)
+    planted = ["4111 1111 1111 1111", "5500-0000-0000-0004", "+49 (170) 555-0199", "+1.2", "0000000000000"]
+    kinds = Counter()
+    for _ in range(4000):
+        pieces = [rng.choice(["1", "22", "4111", "+", "-", " ", "(", ")", ".", "a", "0" * rng.randint(1, 12), *planted]) for _ in range(rng.randint(0, 12))]
+        text = "".join(pieces)
+        expected = []
+        for kind, pattern in ((2, CARD), (3, PHONE)):
+            for m in pattern.finditer(text):
+                digits = re.sub("[^0-9]", "", m[0])
+                if (13 <= len(digits) <= 19 and passes_luhn(digits)) if kind == 2 else 9 <= len(digits) <= 15:
+                    expected.append((kind, m.start(), m.end()))
+        kinds.update(k for k, *_ in expected)
+        assert [s for s in pii.plain_spans(text) if s[0] >= 2] == expected
+    assert min(kinds[2], kinds[3]) > 200
+
+
 @pytest.mark.parametrize(
     "text, kind, found",
     [
@@ -490,6 +517,59 @@ def test_mixture_stays_within_one_block(spark, nothing):
         mixing.mix(frame.withColumn("slot", F.lit(1)))
 
 
+def test_ids_null_in_bulk_are_numbered_by_many_tasks(spark, monkeypatch):
+    """100,000 rows of one source without ids: none twice, no slot short, no range with most rows."""
+    n, dealt = 100_000, []
+    rows = spark.range(n).select(F.lit(None).cast("long").alias("doc_id"), F.lit("hot").alias("source"), F.col("id").alias("row"))
+    rows = rows.union(spark.range(300).select("id", F.lit("cold"), "id"))
+    original = mixing.stored
+
+    def noted(frame):
+        kept = original(frame)
+        if "at" in kept.columns:
+            dealt.extend(r[0] for r in kept.groupBy(F.shiftright("at", 33)).count().select("count").collect())
+        return kept
+
+    monkeypatch.setattr(mixing, "stored", noted)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        mixed = original(mixing.mix(rows))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert mixed.count() == n + 300 and mixed.where("source = 'hot'").select("row").distinct().count() == n
+    hot = mixed.where("source = 'hot'")
+    assert hot.select("slot", "place").distinct().count() == n
+    full = hot.groupBy("block").count()
+    assert full.where("count <> 8").isEmpty() and full.count() == n // 8
+    assert len(dealt) >= 4 and max(dealt) < 0.5 * n
+
+
+def test_the_sample_of_rules_is_small_whatever_the_table(spark):
+    rows = spark.range(40_000).select("id", F.concat(F.lit("word "), F.col("id").cast("string")).alias("text")).repartition(50)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    original = quality.stored
+    sampled = []
+
+    def noted(frame):
+        kept = original(frame.mapInArrow(counted, frame.schema))
+        sampled.append(kept.count())
+        return kept
+
+    quality.stored = noted
+    try:
+        ordered = quality.order_rules(rows)
+    finally:
+        quality.stored = original
+    assert set(ordered) == set(quality.RULES) and 300 < sampled[0] <= 500 and read.value <= 1000
+
+
 def test_extraction_on_held_out_pages(spark):
     pages, labels = html_training.labelled_pages(60, seed=77)
     forest = html_text.Forest([html_text.Page(p) for p in pages])

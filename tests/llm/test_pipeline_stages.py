@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from fleetlake.llm import pii, quality, simhash
+from fleetlake.llm import mixing, pii, quality, simhash
 from fleetlake.llm.common import stored
 
 TEXT = " ".join(f"word{i}, and more text" for i in range(40))
@@ -56,3 +56,36 @@ def test_run_equals_the_stages_over_a_table(spark):
     packed = corpus_pipeline.run(spark, directory)
     assert {r[0] for r in packed.select("doc_id").distinct().collect()} == expected
     assert all(pii.spans(r["text"])[0] == [] for r in corpus_pipeline.personal_data(spark, kept, directory).collect())
+
+
+def test_sequences_follow_the_mixture_over_several_files(spark):
+    """What run() returns, against slots and places of the mixture, with files of one row group each."""
+    directory, conf = "/root/testdata/sf0.001", spark.conf
+    settings = {"spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "1k", "spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.enabled": "false"}
+    before = {name: conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        conf.set(name, value)
+    try:
+        docs = spark.read.parquet(f"{directory}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:3]:
+            docs = stored(stage(spark, docs, directory))
+        mixed = {r["doc_id"]: (r["slot"], r["place"]) for r in mixing.mix(docs).collect()}
+        written = stored(corpus_pipeline.mixture(spark, docs, directory))
+        assert len(written.inputFiles()) > 3
+        packed = corpus_pipeline.run(spark, directory).select("doc_id", "start", "sequence_id").collect()
+    finally:
+        for name, value in before.items():
+            conf.unset(name) if value is None else conf.set(name, value)
+    packed = sorted(packed, key=lambda r: r["sequence_id"])
+    order = [(*mixed[r["doc_id"]], r["start"]) for r in packed]
+    assert order == sorted(order) and {r["doc_id"] for r in packed} == set(mixed)
+
+
+def test_stages_on_empty_tables_and_clashing_columns(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, block int, slot string, row int, key string, _file int"
+    for rows in ([], [(1, TEXT, "en", "a", 1, 1, "s", 1, "k", 1), (2, TEXT.replace("word", "other").replace("text", "prose"), "en", None, 1, None, None, None, None, None)]):
+        docs = spark.createDataFrame(rows, schema)
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stored(stage(spark, docs, ""))
+            assert docs.columns == corpus_pipeline.COLUMNS
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, "").select("doc_id").distinct().count() == len(rows)

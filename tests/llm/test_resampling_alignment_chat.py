@@ -210,6 +210,18 @@ def test_windows_are_cut_at_spaces_and_remembered():
     assert all(s.startswith(b" ") for s in spelled)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text(st.sampled_from("ab é\n\t<|s>▁\x1c\u3000\u0085.'1"), max_size=30))
+def test_first_ids_are_those_of_the_whole_tokenizer(text):
+    from fleetlake.llm.packing import _tokenizer
+
+    whole, found = _tokenizer(ENTRIES)[0], next(alignment.encode([text], ENTRIES, PIECES))
+    if found is None:
+        assert not text or "▁" in text
+    else:
+        assert found[0].tolist() == whole.encode(" " + text, add_special_tokens=False).ids
+
+
 def test_alignment_of_nothing(spark):
     assert alignment.align(spark.createDataFrame([], SCHEMA), ENTRIES, PIECES).collect() == []
 
