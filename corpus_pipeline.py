@@ -17,7 +17,11 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
+    """Documents that no quality rule rejects, repeated ones each time.
+
+    A null or empty text has too few words and goes; null ids and sources stay; texts of
+    any length are measured whole. Further columns are left behind.
+    """
     return quality.keep(docs.select(COLUMNS))
 
 
@@ -26,30 +30,50 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Documents without an id stay, as no id tells which of them names a group.
     """
-    first = stored(simhash.first_of_groups(docs))
-    named = docs.select(COLUMNS).join(first.select("doc_id").distinct(), "doc_id", "left_semi")
-    key = ["doc_id", "fingerprint"]
-    named = simhash.with_fingerprint(named).join(first, key, "left_semi").dropDuplicates(key)
-    return named.select(COLUMNS).union(docs.select(COLUMNS).where("doc_id IS NULL"))
+    marked = stored(simhash.with_fingerprint(docs.select(COLUMNS)))
+    first = stored(simhash.first_of_groups(marked))
+    named = marked.join(first, ["doc_id", "fingerprint"], "left_semi").dropDuplicates(["doc_id", "fingerprint"])
+    return named.select(COLUMNS).union(marked.where("doc_id IS NULL").select(COLUMNS))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data replaced by its kind, and their new length."""
+    """Documents with personal data replaced by its kind, and their new length; a null text becomes empty."""
     clean = pii.redact(docs.select(COLUMNS))
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mixture: files follow each other, rows within them too."""
+    """All documents in the order of the mixture, by number of the file that each task writes and place in it.
+
+    A reader gets files in an order of its own; `in_stored_order` brings this one back.
+    """
     mixed = mixing.mix(docs.select(COLUMNS))
     return mixed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select(COLUMNS)
 
 
+def in_stored_order(docs: DataFrame) -> DataFrame:
+    """Rows of a stored table in the order they were written: by number of file, and place in it.
+
+    Null, empty and repeated rows have places like any other; no rows give no rows.
+    """
+    name = F.col("_metadata.file_name")
+    order = {
+        "_file": F.regexp_extract(name, r"part-(\d+)", 1).cast("long"),
+        "_next": F.regexp_extract(name, r"-c(\d+)", 1).cast("long"),
+        "_row": F.col("_metadata.row_index"),
+    }
+    placed = docs.select(*COLUMNS, *[place.alias(key) for key, place in order.items()])
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order).select(COLUMNS)
+
+
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents of power-of-two length, each a sequence."""
+    """Pieces of documents of power-of-two length, each a sequence; sequence_id rises in the order of the mixture.
+
+    A null or empty text is its end token alone, a repeated row packs again, null ids stay null.
+    """
     import public_tokenizers
 
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(in_stored_order(docs), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [
