@@ -312,21 +312,19 @@ def partition_statistics(s: Sample) -> DataFrame:
 @_query
 def layer_report_after_month(s: Sample) -> DataFrame:
     """The report after one file month was loaded once more."""
-    assert s.reloaded_month
-    return s.spark.table(s.lake.report).drop("measured_at")
+    return s.spark.table(s.reloaded.lake.report).drop("measured_at")
 
 
 @_query
 def layer_monthly_after_month(s: Sample) -> DataFrame:
     """The monthly mart after one file month was loaded once more."""
-    assert s.reloaded_month
-    return _rounded_monthly(s.spark.table(s.lake.monthly))
+    return _rounded_monthly(s.spark.table(s.reloaded.lake.monthly))
 
 
 @_query
 def streamed_fact(s: Sample) -> DataFrame:
     """The fact of a lake that takes the landed files as a stream."""
-    return s.streamed.drop(SOURCE_FILE)
+    return s.spark.table(s.streamed.lake.fact).drop(SOURCE_FILE)
 
 
 # --- projections -----------------------------------------------------------------

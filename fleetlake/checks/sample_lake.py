@@ -132,19 +132,19 @@ class Sample:
         return self.pipeline.load_marts()
 
     @cached_property
-    def reloaded_month(self) -> str:
-        """One file month, taken through all layers again after a whole run."""
-        assert self.mart_tables
-        month = "-".join(sample_trips.FOCUS)
-        self.pipeline.run(months=(month, month))
-        return month
+    def streamed(self) -> Pipeline:
+        """A second lake, which took the landed files as a stream."""
+        lake = Lake(self.landed, prefix=f"{self.name}_streamed_", location=f"{self.folder}/streamed")
+        pipeline = Pipeline(self.spark, lake, sample_trips.LIMITS)
+        follow(pipeline, f"{self.folder}/stream_checkpoint")
+        return pipeline
 
     @cached_property
-    def streamed(self) -> DataFrame:
-        """The fact of a second lake, loaded by the stream of landed files."""
-        lake = Lake(self.landed, prefix=f"{self.name}_streamed_", location=f"{self.folder}/streamed")
-        follow(Pipeline(self.spark, lake, sample_trips.LIMITS), f"{self.folder}/stream_checkpoint")
-        return self.spark.table(lake.fact)
+    def reloaded(self) -> Pipeline:
+        """The second lake after one file month went through all layers once more."""
+        month = "-".join(sample_trips.FOCUS)
+        self.streamed.run(months=(month, month))
+        return self.streamed
 
     def scratch_table(self, name: str) -> str:
         """A table of this lake that no other query uses."""
