@@ -137,7 +137,7 @@ class Index:
     def tables(self, residuals: np.ndarray) -> np.ndarray:
         """Squared distances from each query to every code: subspace, query, code."""
         parts = self.split(residuals)
-        product = np.einsum("qsd,scd->sqc", parts, self.books)
+        product = parts.transpose(1, 0, 2) @ self.books.transpose(0, 2, 1)
         return ((parts**2).sum(2).T[:, :, None] + (self.books**2).sum(2)[:, None, :] - 2 * product).astype(np.float32)
 
 
@@ -165,31 +165,31 @@ def _candidates(index: Index, dimensions: int, threshold: float):
         sent = np.frombuffer(b"".join(asked["query"]), np.int8).reshape(len(asked), dimensions) * scales[:, None]
         centre, homes = index.coarse[key[0]], asked["list"].to_numpy()
         wide = scales * steps  # half a step off in every dimension at most
-        hit = np.zeros(len(asked), bool)
-        pairs = []
-        for home in np.unique(homes):
-            rows = np.flatnonzero(homes == home)
-            found = np.zeros(len(base), bool)
-            for at in range(0, len(rows), 64):
-                some = rows[at : at + 64]
-                tables = index.tables(sent[some] - centre)
-                distance = np.take(tables[0], codes[0], axis=1)
-                for s in range(1, SUBSPACES):
-                    distance += np.take(tables[s], codes[s], axis=1)
-                near = distance <= (radius + wide[some, None] + error[None, :]) ** 2
-                hit[some] = near.any(1)
-                found |= near.any(0)
-            pairs.append((home, found))
-        low, high, lists, reps = [], [], [], []
-        for home, found in pairs:
-            mine = asked["rep"].to_numpy()[(homes == home) & hit]
-            for which, of in ((home, mine), (key[0], names[found])):
-                reps.append(of)
-                low.append(np.full(len(of), min(home, key[0]), np.int32))
-                high.append(np.full(len(of), max(home, key[0]), np.int32))
-                lists.append(np.full(len(of), which, np.int32))
-        columns = (np.concatenate(x) for x in (low, high, lists, reps))
-        return pd.DataFrame(dict(zip(("low", "high", "list", "rep"), columns)))
+        lists, home = np.unique(homes, return_inverse=True)
+        hit, met = np.zeros(len(asked), bool), [np.zeros(0, np.int64)]
+        for at in range(0, len(asked), 256):
+            some = slice(at, at + 256)
+            tables = index.tables(sent[some] - centre)
+            distance = np.take(tables[0], codes[0], axis=1)
+            for s in range(1, SUBSPACES):
+                distance += np.take(tables[s], codes[s], axis=1)
+            q, b = np.nonzero(distance <= (radius + wide[some, None] + error[None, :]) ** 2)
+            hit[at + q] = True
+            # which of the list's vectors the queries of each other list have met
+            met.append(np.unique(home[at + q] * len(base) + b))
+        met = np.unique(np.concatenate(met))
+        from_home, of_base = lists[met // len(base)], met % len(base)
+        asking = np.flatnonzero(hit)
+        other = np.concatenate([homes[asking], from_home]).astype(np.int32)
+        mine = np.full(len(other), key[0], np.int32)
+        return pd.DataFrame(
+            {
+                "low": np.minimum(mine, other),
+                "high": np.maximum(mine, other),
+                "list": np.concatenate([homes[asking].astype(np.int32), mine[len(asking) :]]),
+                "rep": np.concatenate([asked["rep"].to_numpy()[asking], names[of_base]]),
+            }
+        )
 
     return find
 
