@@ -31,7 +31,7 @@ from .packing import _byte_of, _tokenizer
 
 BATCH_BYTES = 4_000_000
 BATCH_ROWS = 100_000
-REMEMBERED = 200_000
+REMEMBERED = 250_000
 LONG_RUN = 2000
 _TEXTS = 64
 _BITS = 20
@@ -153,7 +153,7 @@ def _first_ids(text: str, entries: str) -> list[int]:
     The faster encoder of the same vocabulary does not like long runs without white space.
     """
     whole, fast = _tokenizer(entries)
-    if max(map(len, text.split())) > LONG_RUN:
+    if max(map(len, text.split()), default=LONG_RUN + 1) > LONG_RUN:
         return whole.encode(" " + text, add_special_tokens=False).ids
     return fast.encode_ordinary(" " + text)
 
@@ -162,13 +162,14 @@ def encode(texts: list[str], entries: str, pieces: str) -> Iterator[tuple[np.nda
     """Ids of both tokenizers for each text, or None where there are none or their bytes are not space and text."""
     first, (model, second) = _entries(entries), _pieces(pieces)
     for text, b in zip(texts, model.encode(texts, num_threads=1)):
-        spaced = (" " + text).encode()
-        # cheaper first: a text the second tokenizer changes needs no ids of the other
-        if not text or second.joined(b) != spaced:
+        size = len(text.encode()) + 1
+        b = np.array(b, "<u4")
+        # the second tokenizer changes a text by making it shorter, or where it has U+2581
+        if not text or second.length[b].sum() != size or "▁" in text and second.joined(b.tolist()) != (" " + text).encode():
             yield None
             continue
-        a = _first_ids(text, entries) if not text.isspace() else _tokenizer(entries)[0].encode(" " + text, add_special_tokens=False).ids
-        yield (np.array(a, "<u4"), np.array(b, "<u4")) if first.joined(a) == spaced else None
+        a = np.array(_first_ids(text, entries), "<u4")
+        yield (a, b) if first.length[a].sum() == size else None
 
 
 class _Batch:
@@ -179,40 +180,44 @@ class _Batch:
         self.numbers: dict[tuple[bytes, bytes], int] = {}
         self.texts: list[str] = []
         self.links: list[bytes] = []
-        self.docs: dict[str, list] = {name: [] for name in ("doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "windows")}
+        self.docs: dict[str, list] = {name: [] for name in ("doc_id", "n_a", "n_b", "groups_sha256", "windows")}
 
     def add(self, name, found: tuple[np.ndarray, np.ndarray] | None, size: int, aligner: Aligner) -> None:
-        numbers = np.zeros(0, np.int32)
-        digest, groups = "", 0
+        a, b = found if found is not None else ((), ())
+        numbers: list[int] = []
         if found is not None:
-            cut = aligner.cut(*found)
+            cut = aligner.cut(a, b)
             known = self.numbers
-            for window in set(cut).difference(known):
-                text, links = aligner.aligned(window)
-                known[window] = len(known)
-                self.texts.append(text)
-                self.links.append(links)
-            numbers = np.fromiter(map(known.__getitem__, cut), np.int32, len(cut))
-            texts = self.texts
-            digest = hashlib.sha256(";".join([texts[i] for i in numbers.tolist()]).encode()).hexdigest()
-            groups = sum([len(self.links[i]) for i in numbers.tolist()]) // 8
-        a, b = found if found is not None else ((), ())
-        for column, value in zip(self.docs.values(), (name, len(a), len(b), groups, digest, numbers.tobytes())):
+            numbers = list(map(known.get, cut))
+            if None in numbers:
+                numbers = [self._number(window, aligner) if number is None else number for window, number in zip(cut, numbers)]
+        texts = self.texts
+        digest = hashlib.sha256(";".join([texts[i] for i in numbers]).encode()).hexdigest() if numbers else ""
+        for column, value in zip(self.docs.values(), (name, len(a), len(b), digest, np.array(numbers, np.int32).tobytes())):
             column.append(value)
         self.size += size
         self.rows += 1
 
+    def _number(self, window: tuple[bytes, bytes], aligner: Aligner) -> int:
+        number = self.numbers.get(window)
+        if number is None:
+            number = self.numbers[window] = len(self.numbers)
+            text, links = aligner.aligned(window)
+            self.texts.append(text)
+            self.links.append(links)
+        return number
+
     def out(self) -> pa.RecordBatch:
         """The documents as one compressed table, the distinct links in order, how often each comes, and which windows hold them."""
         sizes = np.array([len(x) // 8 for x in self.links], np.int64)
         every = np.frombuffer(b"".join(self.links), np.int64)
         pairs, index = np.unique(every, return_inverse=True)
-        uses = np.zeros(len(sizes), np.int64)
-        for blob in self.docs["windows"]:
-            np.add.at(uses, np.frombuffer(blob, np.int32), 1)
+        windows = [np.frombuffer(blob, np.int32) for blob in self.docs["windows"]]
+        uses = np.bincount(np.concatenate([np.zeros(0, np.int32), *windows]), minlength=len(sizes))
         counts = np.bincount(index, np.repeat(uses, sizes), len(pairs)).astype(np.int64)
-        kinds = [self.ids, *[pa.int64()] * 3, pa.string(), pa.large_binary()]
+        kinds = [self.ids, *[pa.int64()] * 2, pa.string(), pa.large_binary()]
         table = pa.table([pa.array(v, k) for v, k in zip(self.docs.values(), kinds)], list(self.docs))
+        table = table.append_column("n_groups", pa.array([int(sizes[w].sum()) for w in windows], pa.int64()))
         sink = io.BytesIO()
         with pa.ipc.new_stream(sink, table.schema, options=_IPC) as writer:
             writer.write_table(table)
