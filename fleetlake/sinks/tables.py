@@ -10,7 +10,8 @@ pointed at before stays for readers that have begun, until ``vacuum``.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager, nullcontext
 from functools import reduce
 from math import ceil
 from urllib.parse import unquote
@@ -28,6 +29,8 @@ from fleetlake.operators.shaping import column
 VERSIONS = "_versions"
 #: Quantiles of a column that interleaved clustering tells apart, as a power of two.
 INTERLEAVED_BITS = 8
+#: Partitions that a task writes side by side.
+OPEN_FILES = 100
 # Fixed value: how a directory names a missing partition value.
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -137,10 +140,32 @@ def _create(
     spark.sql(f"CREATE TABLE {table} ({_columns(schema)}) USING parquet{by}")
 
 
-def write_version(frame: DataFrame, directory: str, keys: Sequence[str]) -> str:
-    """Write rows by ``keys`` below a fresh directory in ``directory``, and return it."""
-    fresh = f"{directory}/{uuid4().hex}"
-    frame.write.partitionBy(*keys).parquet(fresh)
+@contextmanager
+def unsorted_writes(spark: SparkSession) -> Iterator[None]:
+    """Let a task write several partitions at once, instead of sorting its rows by them.
+
+    The sort would hold every row of a task, as wide as it is, where open files hold
+    encoded columns. A task that meets more than ``OPEN_FILES`` partitions sorts the rest.
+    """
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    usual = spark.conf.get(setting)
+    spark.conf.set(setting, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, usual)
+
+
+def write_version(
+    frame: DataFrame, directory: str, keys: Sequence[str], *, in_order: bool = False
+) -> str:
+    """Write rows by ``keys`` below a fresh directory in ``directory``, and return it.
+
+    ``in_order`` is for rows already sorted by ``keys`` inside each task.
+    """
+    fresh, spark = f"{directory}/{uuid4().hex}", frame.sparkSession
+    with nullcontext() if in_order else unsorted_writes(spark):
+        frame.write.partitionBy(*keys).parquet(fresh)
     return fresh
 
 
@@ -242,7 +267,7 @@ def replace_partitions(
     laid_out = frame.hint("rebalance", *keys) if rebalance else frame
     if sort_by:
         laid_out = laid_out.sortWithinPartitions(*keys, *sort_by)
-    version = write_version(laid_out, versions_of(spark, table), keys)
+    version = write_version(laid_out, versions_of(spark, table), keys, in_order=bool(sort_by))
     found = written(spark, version)
     if there and not found:
         raise ValueError(f"the frame is empty, nothing to write to {table}")
@@ -443,7 +468,7 @@ def cluster_table(
         .sortWithinPartitions(*order)
         .drop(*own)
     )
-    version = write_version(clustered, versions_of(spark, table), keys)
+    version = write_version(clustered, versions_of(spark, table), keys, in_order=True)
     switch_partitions(spark, table, keys, written(spark, version))
 
 

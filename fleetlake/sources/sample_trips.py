@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions.timing import month_text, year_text
 from fleetlake.model import FILE_MONTH, GREEN, SOURCE_FILE, YELLOW, Fleet, Limits
+from fleetlake.sinks.tables import unsorted_writes
 
 LIMITS = Limits(window_start="1996-01-01", window_end="2001-01-01")
 FOCUS = ("1998", "05")
@@ -120,13 +121,14 @@ def land(spark: SparkSession, directory: str, fleet: Fleet, root: str) -> None:
     The parts share no month, so landing again replaces what is there.
     """
     for part in drifting_files(sample_trips(spark, directory, fleet), fleet):
-        (
+        writer = (
             part.hint("rebalance", *FILE_MONTH)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*FILE_MONTH)
-            .parquet(f"{root.rstrip('/')}/{fleet.name}")
         )
+        with unsorted_writes(spark):
+            writer.parquet(f"{root.rstrip('/')}/{fleet.name}")
 
 
 def published_names(trips: dict[Fleet, DataFrame]) -> DataFrame:
