@@ -32,7 +32,8 @@ Months = tuple[str, str] | frozenset[str]
 
 def ref_month_of(path: Column) -> tuple[Column, Column]:
     """Year and month text of a landing path; both empty when it has none."""
-    forward = F.translate(path, "\\", "/")
+    # not translate, which looks up every character of every path
+    forward = F.replace(path, F.lit("\\"), F.lit("/"))
     return tuple(F.regexp_extract(forward, _MONTH_DIRECTORY, part) for part in (1, 2))
 
 
@@ -231,7 +232,8 @@ def read_landing(spark: SparkSession, root: str, months: Months | None = None) -
         raise ValueError(f"path outside the expected layout: {strays[0]}")
     chosen = [m for m in landed if covers(months, f"{m.ref_year}-{m.ref_month}")]
     if not chosen:
-        raise ValueError(f"no parquet file under {root} in months {sorted(months)}")
+        wanted = f"from {months[0]} to {months[1]}" if isinstance(months, tuple) else sorted(months)
+        raise ValueError(f"no parquet file under {root} in months {wanted}")
     directories = [f"{root}/ref_year={m.ref_year}/ref_month={m.ref_month}" for m in chosen]
     parts = [_read_group(spark, root, g) for g in schema_groups(spark, directories)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
