@@ -437,15 +437,18 @@ def cluster_table(
     table: str,
     keys: Sequence[str],
     by: Sequence[str],
-    file_bytes: int = 1024 * 1024 * 1024,
+    file_bytes: int = 256 * 1024 * 1024,
     only: Iterable[tuple[str, ...]] | None = None,
     interleave: bool = False,
+    file_rows: int = 4_000_000,
 ) -> None:
     """Rewrite partitions with files that hold disjoint ranges of ``by``.
 
     With ``interleave`` the columns of ``by`` count alike, and filters on any of them skip
     files; without, the first one leads. ``only`` names the partitions, by values; by default
-    all. Ranges end with a hash of each row's file and position. That is stable when a
+    all. A range is one task, which sorts its rows decoded, many times their size in files
+    that compress well; so it has about ``file_rows`` rows at most, or ``file_bytes`` of the
+    table's files where that is less. Ranges end with a hash of each row's file and position. That is stable when a
     task is run again, and splits a value (or a row) repeated any number of times. A
     partition's clustered copy is complete before it takes the partition's place.
     """
@@ -453,10 +456,11 @@ def cluster_table(
     chosen = set(places) if only is None else set(places).intersection(only)
     if not chosen:
         return
-    files = max(1, ceil(table_bytes(spark, table, (places[v] for v in chosen)) / file_bytes))
     rows = spark.table(table)
     if only is not None:
         rows = rows.where(_is_one_of(keys, chosen))
+    stored = table_bytes(spark, table, (places[v] for v in chosen))
+    files = max(1, ceil(stored / file_bytes), ceil(rows.count() / file_rows))
     own = {"_tie": F.xxhash64("_metadata.file_path", "_metadata.row_index")}
     order = [*keys, *by]
     if interleave:

@@ -258,3 +258,16 @@ def test_statistics(spark, database):
     details = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
     assert "100 rows" in details["Statistics"]
     assert {"v", "t"} <= {r.col_name for r in tables.describe(spark, table).collect()}
+
+
+@pytest.mark.parametrize("interleave", [False, True])
+def test_a_range_to_cluster_is_bounded_by_its_rows(spark, database, interleave):
+    """Copies of few rows: their files are far smaller than what a task has to sort."""
+    table = f"{database}.t"
+    frame = skewed(spark, 20_000)
+    tables.replace_partitions(frame, table, EVENT)
+    tables.cluster_table(spark, table, EVENT, ("trip_type", "t"), interleave=interleave, file_rows=2_000)
+    files = in_file_order(spark, table)
+    assert len(files) >= 10 and max(map(len, files.values())) < 4_000
+    assert spark.table(table).exceptAll(frame.select(*spark.table(table).columns)).count() == 0
+    assert spark.table(table).count() == 20_000
