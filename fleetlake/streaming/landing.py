@@ -57,12 +57,28 @@ def take_new_files(
 
     Files count as taken when every month of their batch is loaded.
     """
+
+    def each(months: list[str]) -> None:
+        for month in months:
+            load(month)
+
+    return take_new_batches(spark, root, checkpoint, each, files_per_batch)
+
+
+def take_new_batches(
+    spark: SparkSession,
+    root: str,
+    checkpoint: str,
+    load: Callable[[list[str]], None],
+    files_per_batch: int | None = None,
+) -> list[str]:
+    """The same with all months of a batch in one call, which can load them side by side."""
     taken: list[str] = []
 
     def batch(files: DataFrame, _: int) -> None:
-        for month in months_of(files):
-            load(month)
-            taken.append(month)
+        if months := months_of(files):
+            load(months)
+            taken.extend(months)
 
     query = (
         new_files(spark, root, files_per_batch)
@@ -78,7 +94,7 @@ def take_new_files(
 def follow(pipeline: Pipeline, checkpoint: str, files_per_batch: int | None = None) -> dict[Fleet, list[str]]:
     """Bring all layers up to the landed files; layers without new files are left alone.
 
-    Raw and trusted follow file by file; fact, quarantine, report and marts follow once,
+    Raw and trusted follow batch by batch, all months of a batch in one job; fact, quarantine, report and marts follow once,
     by the event months that the new file months touch. If that last step fails, its
     months are still marked below ``checkpoint``, and the next call makes up for them.
     """
@@ -87,13 +103,14 @@ def follow(pipeline: Pipeline, checkpoint: str, files_per_batch: int | None = No
     taken: dict[Fleet, list[str]] = {}
     for fleet in pipeline.fleets:
 
-        def load(month: str, fleet: Fleet = fleet) -> None:
-            pipeline.load_raw(fleet, (month, month))
-            pipeline.load_trusted(fleet, (month, month))
-            _mark(spark, checkpoint, month)
+        def load(months: list[str], fleet: Fleet = fleet) -> None:
+            pipeline.load_raw(fleet, frozenset(months))
+            pipeline.load_trusted(fleet, frozenset(months))
+            for month in months:
+                _mark(spark, checkpoint, month)
 
         root = pipeline.lake.landing_root(fleet)
-        taken[fleet] = take_new_files(spark, root, f"{checkpoint}/{fleet.name}", load, files_per_batch)
+        taken[fleet] = take_new_batches(spark, root, f"{checkpoint}/{fleet.name}", load, files_per_batch)
     # together, for a month's trips may lie in event months that another one touches too
     if open_months := _marked(spark, checkpoint):
         pipeline.follow(frozenset(open_months))

@@ -88,3 +88,17 @@ def test_files_outside_the_layout_are_an_error(spark, landing, tmp_path):
     spark.range(3).write.parquet(f"{root}/elsewhere")
     with pytest.raises(StreamingQueryException, match="outside the expected layout"):
         take_new_files(spark, root, checkpoint, lambda month: None)
+
+
+def test_the_months_of_a_batch_are_loaded_together(spark, landing, monkeypatch):
+    pipeline, checkpoint = landing
+    loads, whole = [], Pipeline.load_trusted
+
+    def load_trusted(self, fleet, months=None):
+        loads.append((fleet, months))
+        return whole(self, fleet, months)
+
+    monkeypatch.setattr(Pipeline, "load_trusted", load_trusted)
+    both = ["2023-01", "2023-02"]
+    assert follow(pipeline, checkpoint) == {YELLOW: both, GREEN: both}
+    assert loads == [(fleet, frozenset(both)) for fleet in FLEETS]
