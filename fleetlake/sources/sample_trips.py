@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fleetlake.functions.timing import month_text, year_text
 from fleetlake.model import FILE_MONTH, GREEN, SOURCE_FILE, YELLOW, Fleet, Limits
-from fleetlake.sinks.tables import unsorted_writes
+from fleetlake.sinks.tables import unsorted_writes, whole_timestamps
 
 LIMITS = Limits(window_start="1996-01-01", window_end="2001-01-01")
 FOCUS = ("1998", "05")
@@ -127,7 +127,7 @@ def land(spark: SparkSession, directory: str, fleet: Fleet, root: str) -> None:
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*FILE_MONTH)
         )
-        with unsorted_writes(spark):
+        with whole_timestamps(spark), unsorted_writes(spark):
             writer.parquet(f"{root.rstrip('/')}/{fleet.name}")
 
 

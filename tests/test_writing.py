@@ -8,6 +8,7 @@ import sys
 import textwrap
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,3 +71,16 @@ def test_months_are_read_off_paths_without_a_look_at_every_character(spark, plan
     frame = spark.createDataFrame([(p,) for p in paths], "path string").select(*landing.ref_month_of(F.col("path")))
     assert [tuple(r) for r in frame.collect()] == [("2023", "05"), ("1999", "12"), ("", ""), ("", ""), (None, None), ("2001", "02")]
     assert "translate(" not in plan(frame)
+
+
+def test_times_are_written_as_numbers_with_bounds(spark, database):
+    setting, table = "spark.sql.parquet.outputTimestampType", f"{database}.t"
+    usual = spark.conf.get(setting)
+    times = ["0001-01-01 00:00:00", "1500-02-28 23:00:00", "2023-05-01 02:03:04.000005", "9999-12-31 23:59:59.999999", None]
+    texts = spark.createDataFrame([(t, "2023", "05") for t in times], "t string, ref_year string, ref_month string")
+    tables.replace_partitions(texts.withColumn("t", F.col("t").cast("timestamp")).coalesce(1), table, KEYS)
+    assert {r.t for r in spark.table(table).select(F.col("t").cast("string")).collect()} == set(times)
+    (path,) = spark.table(table).inputFiles()
+    group = pq.ParquetFile(path.removeprefix("file://")).metadata.row_group(0).column(0)
+    assert group.physical_type == "INT64" and group.statistics.has_min_max
+    assert spark.conf.get(setting) == usual
